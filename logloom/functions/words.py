@@ -1,13 +1,14 @@
 """Solidity words as Spark expressions.
 
-A *word* is 64 hex characters (32 bytes) without prefix. Topics are normalised to words with
-``topic_word``; the log's data is a run of words, cut with ``data_word``. Everything is a built-in
-expression, and nothing here depends on the session's ANSI flag: hex is validated before it is
-converted, and overflowing numbers become NULL.
+A log's data is decoded to bytes once and cut into 32-byte binary *words*: a binary slice is a copy,
+while a slice of a long string scans it from its start. Topics stay text, since an address topic is
+taken as it stands, hex or not. Everything here is a built-in expression, and nothing depends on the
+session's ANSI flag: hex is validated before it is converted, and overflowing numbers become NULL.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -15,21 +16,39 @@ from pyspark.sql import functions as F
 
 from ..registry.model import constant
 
-WORD = 64
+WORD = 32  # bytes
 _WIDE_MARK = "wide:"
 _HEX = "0123456789abcdef"
 
 
+def bits(kind: str) -> int:
+    """``uint16`` -> 16; a bare ``uint`` or ``int`` has 256."""
+    return int(kind.lstrip("uint") or 256)
+
+
+def n_bytes(kind: str) -> int:
+    return int(kind.removeprefix("bytes") or WORD)
+
+
+def is_numeric(kind: str) -> bool:
+    return kind == "bool" or kind.startswith(("uint", "int"))
+
+
 def _zeros(n: int) -> Column:
-    return F.lit("0" * n)
+    return F.lit(bytes(n))
+
 
+def _slice(data: Column, start: int, length: int) -> Column:
+    return F.substring(data, start + 1, length)
 
-def _part(word: Column, start: int, length: int) -> Column:
-    return F.substring(word, start + 1, length)
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, for the rare long conversions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-def _tail(word: Column, length: int) -> Column:
-    return F.substring(word, -length, length)
+
+def _hex_text(data: Column) -> Column:
+    return F.lower(F.hex(data))
 
 
 def without_prefix(text: Column) -> Column:
@@ -37,127 +56,138 @@ def without_prefix(text: Column) -> Column:
     return F.when(text.startswith("0x"), F.substr(text, F.lit(3))).otherwise(text)
 
 
-def is_hex(text: Column) -> Column:
-    """Hex digits only, any length, empty included. NULL text gives false."""
-    return F.unhex(text).isNotNull()
-
-
-# -- topics ------------------------------------------------------------------------------------
+# -- topics: text ------------------------------------------------------------------------------
 
 
-def topic_word(topic: Column) -> Column:
-    """Prefix stripped, lower case, left-padded to 64; longer input is kept whole."""
+def topic_digits(topic: Column) -> Column:
+    """Prefix stripped, lower case, left-padded to 64 digits; longer input is kept whole."""
     digits = F.lower(without_prefix(topic))
-    return F.when(F.length(digits) < WORD, F.lpad(digits, WORD, "0")).otherwise(digits)
+    return F.when(F.length(digits) < 64, F.lpad(digits, 64, "0")).otherwise(digits)
 
 
 def is_number_topic(topic: Column) -> Column:
     """Hex digits with at most 64 significant ones."""
     digits = without_prefix(topic)
-    return is_hex(digits) & (F.length(F.ltrim(digits, F.lit("0"))) <= WORD)
+    return F.unhex(digits).isNotNull() & (F.length(F.ltrim(digits, F.lit("0"))) <= 64)
 
 
-# -- data --------------------------------------------------------------------------------------
+def topic_address(topic: Column) -> Column:
+    """The last 40 digits, whatever they are."""
+    padded = F.concat(F.lit("0" * 40), without_prefix(topic))
+    return F.concat(F.lit("0x"), F.lower(F.substring(padded, -40, 40)))
 
 
-def data_body(data: Column) -> Column:
-    """The hex of the data field without prefix; NULL data counts as empty."""
-    return F.coalesce(without_prefix(data), F.lit(""))
+def topic_word(topic: Column) -> Column:
+    """The last 64 digits as a binary word; NULL when they are not hex."""
+    padded = F.concat(F.lit("0" * 64), without_prefix(topic))
+    return F.unhex(F.substring(padded, -64, 64))
 
 
-def data_word(body: Column, position: Column | int) -> Column:
-    if isinstance(position, int):
-        return F.substring(body, WORD * position + 1, WORD)
-    return F.substr(body, position * WORD + 1, F.lit(WORD))
+def topic_text(topic: Column, kind: str) -> Column:
+    """The decoded text of an indexed field; numbers may come back marked, see ``finish_text``."""
+    if kind == "address":
+        return topic_address(topic)
+    if kind == "bool":
+        return boolean_text(topic_word(topic))
+    if kind.startswith("uint"):
+        return marked_uint_text(topic_word(topic))
+    if kind.startswith("int"):
+        return signed_text(topic_word(topic), bits(kind))
+    if kind.startswith("bytes"):
+        return F.concat(F.lit("0x"), F.substring(topic_digits(topic), 1, 2 * n_bytes(kind)))
+    return F.concat(F.lit("0x"), topic_digits(topic))
+
 
+# -- data: binary ------------------------------------------------------------------------------
 
-def is_byte_string(body: Column) -> Column:
-    return is_hex(body) & (F.length(body) % 2 == 0)
+
+def data_bytes(data: Column) -> Column:
+    """The bytes of a data field, with or without prefix. NULL when it is not hex or of odd length;
+    NULL data counts as empty."""
+    body = F.coalesce(without_prefix(data), F.lit(""))
+    return F.when(F.octet_length(body) % 2 == 0, F.unhex(body))
+
+
+def data_word(data: Column, position: Column | int) -> Column:
+    if isinstance(position, int):
+        return _slice(data, WORD * position, WORD)
+    return F.substr(data, position * WORD + 1, F.lit(WORD))
 
 
 def is_strict_word(word: Column, kind: str) -> Column | None:
     """What a strict ABI decoder demands of a data word of this type; None when anything goes."""
     if kind == "bool":
-        return word.startswith("0" * 63) & _tail(word, 1).isin("0", "1")
+        return word.isin(_zeros(WORD), F.lit(bytes(WORD - 1) + b"\x01"))
     if kind == "address":
-        return word.startswith("0" * 24)
+        return _slice(word, 0, 12) == _zeros(12)
     if kind.startswith("uint"):
-        pad = WORD - bits(kind) // 4
-        return word.startswith("0" * pad) if pad else None
+        pad = WORD - bits(kind) // 8
+        return _slice(word, 0, pad) == _zeros(pad) if pad else None
     if kind.startswith("int"):
-        pad = WORD - bits(kind) // 4
-        sign = F.lower(_part(word, pad, 1)) >= "8"
-        extension = F.when(sign, F.lit("f" * pad)).otherwise(_zeros(pad))
-        return F.lower(_part(word, 0, pad)) == extension if pad else None
+        pad = WORD - bits(kind) // 8
+        negative = _slice(word, pad, 1) >= F.lit(b"\x80")
+        extension = F.when(negative, F.lit(b"\xff" * pad)).otherwise(_zeros(pad))
+        return _slice(word, 0, pad) == extension if pad else None
     if kind.startswith("bytes"):
-        pad = WORD - 2 * n_bytes(kind)
-        return word.endswith("0" * pad) if pad else None
+        size = n_bytes(kind)
+        return _slice(word, size, WORD - size) == _zeros(WORD - size) if size < WORD else None
     raise ValueError(f"no data layout for type {kind!r}")
 
 
-# -- types -------------------------------------------------------------------------------------
-
-
-def bits(kind: str) -> int:
-    return int(kind.lstrip("uint") or 256)
-
-
-def n_bytes(kind: str) -> int:
-    return int(kind.removeprefix("bytes") or 32)
-
-
-def is_numeric(kind: str) -> bool:
-    return kind == "bool" or kind.startswith(("uint", "int"))
+def data_text(word: Column, kind: str) -> Column:
+    """The decoded text of a strict data word; numbers may come back marked, see ``finish_text``."""
+    if kind == "address":
+        return address(word)
+    if kind == "bool":
+        return boolean_text(word)
+    if kind.startswith("uint"):
+        return marked_uint_text(word)
+    if kind.startswith("int"):
+        return signed_text(word)
+    return fixed_bytes(word, n_bytes(kind))
 
 
-# -- values ------------------------------------------------------------------------------------
+# -- values of a binary word -------------------------------------------------------------------
 
 
 def address(word: Column) -> Column:
-    return F.concat(F.lit("0x"), F.lower(_tail(word, 40)))
+    return F.concat(F.lit("0x"), _hex_text(_slice(word, 12, 20)))
 
 
 def boolean(word: Column) -> Column:
-    return F.ltrim(word, F.lit("0")) != ""
+    return word != _zeros(WORD)
 
 
 def boolean_text(word: Column) -> Column:
-    return F.when(boolean(word), F.lit("True")).otherwise(F.when(word.isNotNull(), F.lit("False")))
+    return F.initcap(boolean(word).cast("string"))
 
 
-def fixed_bytes(word: Column, n: int = 32) -> Column:
-    return F.concat(F.lit("0x"), F.lower(_part(word, 0, 2 * n)))
+def fixed_bytes(word: Column, size: int = WORD) -> Column:
+    return F.concat(F.lit("0x"), _hex_text(_slice(word, 0, size)))
 
 
-def raw_hex(word: Column) -> Column:
-    return F.concat(F.lit("0x"), F.lower(word))
-
-
-def _limb(word: Column, start: int, digits: int, sql_type: str) -> Column:
-    return F.conv(_part(word, start, digits), 16, 10).cast(sql_type)
+def _limb(word: Column, start: int, size: int, sql_type: str) -> Column:
+    return F.conv(F.hex(_slice(word, start, size)), 16, 10).cast(sql_type)
 
 
 def uint_decimal(word: Column) -> Column:
-    """decimal(38,0), NULL from 10^38 on. Small values take one limb, larger ones two."""
-    word = _tail(word, WORD)
-    small = _limb(word, 49, 15, "bigint").cast("decimal(38,0)")
-    shifted = F.try_multiply(_limb(word, 32, 16, "decimal(20,0)"), F.lit(Decimal(2**64)))
-    large = F.try_add(shifted, _limb(word, 48, 16, "decimal(20,0)")).cast("decimal(38,0)")
-    return F.when(word.startswith("0" * 49), small).when(word.startswith("0" * 32), large)
+    """decimal(38,0), NULL from 10^38 on. Values below 2^64 take one limb, larger ones two."""
+    low = _limb(word, 24, 8, "decimal(20,0)")
+    shifted = F.try_multiply(_limb(word, 16, 8, "decimal(20,0)"), F.lit(Decimal(2**64)))
+    large = F.try_add(shifted, low).cast("decimal(38,0)")
+    return F.when(_slice(word, 0, 24) == _zeros(24), low.cast("decimal(38,0)")).when(
+        _slice(word, 0, 16) == _zeros(16), large
+    )
 
 
 def uint_bigint(word: Column) -> Column:
     """bigint, NULL from 2^63 on."""
-    word = _tail(word, WORD)
-    fits = word.startswith("0" * 48) & (_part(word, 48, 1) < "8")
-    return F.when(fits, _limb(word, 48, 16, "bigint"))
+    return F.when(_slice(word, 0, 24) == _zeros(24), F.conv(F.hex(_slice(word, 24, 8)), 16, 10).try_cast("bigint"))
 
 
 def uint_int(word: Column) -> Column:
     """int, NULL from 2^31 on."""
-    word = _tail(word, WORD)
-    fits = word.startswith("0" * 56) & (_part(word, 56, 1) < "8")
-    return F.when(fits, _limb(word, 56, 8, "int"))
+    return uint_bigint(word).try_cast("int")
 
 
 def uint_text(word: Column) -> Column:
@@ -166,47 +196,46 @@ def uint_text(word: Column) -> Column:
 
 
 def marked_uint_text(word: Column) -> Column:
-    """Base-10 text below 2^124; larger words come back marked, for ``finish_text`` to spell out.
+    """Base-10 text below 2^120; larger words come back marked, for ``finish_text`` to spell out.
 
     Splitting the two steps lets a row convert all its words with plain expressions and pay for
-    the wide conversion once, only when it holds a wide word.
+    the wide conversion only where a wide word turns up.
     """
-    word = _tail(word, WORD)
-    shifted = _limb(word, 32, 16, "decimal(20,0)") * F.lit(Decimal(2**64))
-    large = (shifted + _limb(word, 48, 16, "decimal(20,0)")).cast("decimal(38,0)").cast("string")
+    low = F.conv(F.hex(_slice(word, 24, 8)), 16, 10)
+    shifted = _limb(word, 16, 8, "decimal(20,0)") * F.lit(Decimal(2**64))
+    large = (shifted + low.cast("decimal(20,0)")).cast("decimal(38,0)").cast("string")
     return (
-        F.when(word.startswith("0" * 48), F.conv(_part(word, 48, 16), 16, 10))
-        .when(word.startswith("0" * 33), large)
-        .otherwise(F.concat(F.lit(_WIDE_MARK), word))
+        F.when(_slice(word, 0, 24) == _zeros(24), low)
+        .when(_slice(word, 0, 17) == _zeros(17), large)
+        .otherwise(F.concat(F.lit(_WIDE_MARK), F.hex(word)))
     )
 
 
 def finish_text(text: Column) -> Column:
-    word = F.substr(text, F.lit(len(_WIDE_MARK) + 1))
-    return F.when(text.startswith(_WIDE_MARK), _wide_text(word)).otherwise(text)
+    digits = F.substr(text, F.lit(len(_WIDE_MARK) + 1))
+    return F.when(text.startswith(_WIDE_MARK), _wide_text(digits)).otherwise(text)
 
 
-def _wide_text(word: Column) -> Column:
-    """Eight 32-bit limbs to ten base-10^8 digits: column sums of limb x digits of 2^(32 i), then one
-    carry pass. A column sum stays below 8 * 2^32 * 10^8 < 2^63."""
+def _wide_text(digits: Column) -> Column:
+    """64 hex digits to base 10: eight 32-bit limbs, ten base-10^8 column sums of limb x digits of
+    2^(32 i), one carry pass. A column sum stays below 8 * 2^32 * 10^8 < 2^63."""
     base, places = 10**8, 10
     table = [[2 ** (32 * i) // base**j % base for i in range(8)] for j in range(places)]
-    limbs = F.array(*[_limb(word, 56 - 8 * i, 8, "bigint") for i in range(8)])
+    weights = constant(table, "array<array<bigint>>")
+    limbs = F.array(*[F.conv(F.substring(digits, 57 - 8 * i, 8), 16, 10).cast("bigint") for i in range(8)])
     zero = F.lit(0).cast("bigint")
 
-    def column_sum(weights: Column, values: Column) -> Column:
-        return F.aggregate(F.zip_with(weights, values, lambda a, b: a * b), zero, lambda acc, x: acc + x)
+    def column_sum(row: Column, values: Column) -> Column:
+        return F.aggregate(F.zip_with(row, values, lambda a, b: a * b), zero, lambda acc, x: acc + x)
 
-    weights = constant(table, "array<array<bigint>>")
-    # a one-element array binds the limbs once for all ten column sums
-    sums = F.get(F.transform(F.array(limbs), lambda v: F.transform(weights, lambda w: column_sum(w, v))), F.lit(0))
+    sums = _let(limbs, lambda v: F.transform(weights, lambda row: column_sum(row, v)))
 
     def carry(acc: Column, column: Column) -> Column:
         total = acc["carry"] + column
         rest = total % base
-        digits = F.lpad(rest.cast("string"), 8, "0")
         quotient = F.call_function("div", total - rest, F.lit(base).cast("bigint"))
-        return F.struct(quotient.alias("carry"), F.concat(digits, acc["text"]).alias("text"))
+        text = F.concat(F.lpad(rest.cast("string"), 8, "0"), acc["text"])
+        return F.struct(quotient.alias("carry"), text.alias("text"))
 
     start = F.struct(zero.alias("carry"), F.lit("").alias("text"))
     return F.aggregate(sums, start, carry, lambda acc: F.ltrim(acc["text"], F.lit("0")))
@@ -215,43 +244,33 @@ def _wide_text(word: Column) -> Column:
 def _minus_one(digits: Column) -> Column:
     """Hex text minus one; the text holds a nonzero digit."""
     kept = F.rtrim(digits, F.lit("0"))
-    last = F.translate(_tail(kept, 1), _HEX[1:], _HEX[:-1])
-    borrowed = F.rpad(F.concat(F.substr(kept, F.lit(1), F.length(kept) - 1), last), WORD, "f")
+    last = F.translate(F.substring(kept, -1, 1), _HEX[1:], _HEX[:-1])
+    borrowed = F.rpad(F.concat(F.substr(kept, F.lit(1), F.length(kept) - 1), last), 64, "f")
     return F.substr(borrowed, F.lit(1), F.length(digits))
 
 
 def _negated(digits: Column) -> Column:
-    """2^(4 n) minus the value of n nonzero hex digits."""
+    """2^(4 n) minus the value of n hex digits, not all zero: the complement of the value minus one."""
     return F.translate(_minus_one(digits), _HEX, _HEX[::-1])
 
 
-def signed_topic_text(word: Column, n_bits: int = 256) -> Column:
-    """v - 2^n when v >= 2^(n-1), over the full 256-bit v: upper bits are not masked off."""
-    word = F.lower(_tail(word, WORD))
-    pad = WORD - n_bits // 4
-    high, low = _part(word, 0, pad), _part(word, pad, n_bits // 4)
-    negative = F.concat(F.lit("-"), uint_text(F.lpad(_negated(low), WORD, "0")))
-    value = F.when(_part(low, 0, 1) >= "8", negative).otherwise(uint_text(word))
-    if pad:
-        above = F.concat(_minus_one(high), low)
-        value = F.when(high != _zeros(pad), uint_text(above)).otherwise(value)
-    return value
-
-
-def signed_data_text(word: Column) -> Column:
-    """Two's complement of a sign-extended word."""
-    return signed_topic_text(word, 256)
+def signed_text(word: Column, n_bits: int = 256) -> Column:
+    """v - 2^n when v >= 2^(n-1), over the full 256-bit v: upper bits are not masked off.
 
-
-def topic_text(word: Column, kind: str) -> Column:
-    """The decoded text of an indexed field, from its normalised topic word."""
-    if kind.startswith("int"):
-        return signed_topic_text(word, bits(kind))
-    if kind.startswith("bytes"):
-        return fixed_bytes(word, n_bytes(kind))
-    return {"address": address, "bool": boolean_text}.get(kind, marked_uint_text if is_numeric(kind) else raw_hex)(word)
-
-
-def data_text(word: Column, kind: str) -> Column:
-    """The decoded text of a data field, from its validated data word."""
-    return signed_data_text(word) if kind.startswith("int") else topic_text(word, kind)
+    With 256 bits this is the two's complement of a sign-extended word.
+    """
+    pad = 64 - n_bits // 4
+
+    def text(digits: Column) -> Column:
+        high, low = F.substring(digits, 1, pad), F.substring(digits, pad + 1, n_bits // 4)
+        above = high != "0" * pad if pad else F.lit(False)
+        negative = ~above & (F.substring(low, 1, 1) >= "8")
+        magnitude = (
+            F.when(above, F.concat(_minus_one(high), low))
+            .when(negative, F.lpad(_negated(low), 64, "0"))
+            .otherwise(digits)
+        )
+        sign = F.when(negative, F.lit("-")).otherwise(F.lit(""))
+        return F.concat(sign, _let(F.unhex(magnitude), uint_text))
+
+    return _let(_hex_text(word), text)

@@ -15,8 +15,8 @@ NOT_DECODED = "No matching ABI or decode_log returned None"
 BAD_TOPIC = "invalid topic word at position {}"
 
 # columns that exist only between the steps of this module and of ``typed``
-BODY = "_body"
-WORK_COLUMNS = ("def_id", "log_error", BODY)
+DATA = "_data_bytes"
+WORK_COLUMNS = ("def_id", "log_error", DATA)
 
 
 def route_logs(logs: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
@@ -31,8 +31,8 @@ def route_logs(logs: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
 
 
 def check_logs(logs: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
-    """Adds ``def_id``, the data as bare hex, and ``log_error``: why the log cannot be decoded, or NULL."""
-    routed = route_logs(logs, registry).withColumn(BODY, words.data_body(F.col("data")))
+    """Adds ``def_id``, the data as bytes, and ``log_error``: why the log cannot be decoded, or NULL."""
+    routed = route_logs(logs, registry).withColumn(DATA, words.data_bytes(F.col("data")))
     return routed.withColumn("log_error", _log_error(registry))
 
 
@@ -67,17 +67,16 @@ def _good_data(registry: Registry) -> Column:
 
     Bytes beyond the declared words are accepted.
     """
-    body = F.col(BODY)
+    data = F.col(DATA)
     needed = by_def([words.WORD * len(d.data_fields) for d in registry.definitions], "int")
-    no_fields = needed == 0
-    checks = [words.is_byte_string(body), F.length(body) >= needed]
+    checks = [data.isNotNull(), F.octet_length(data) >= needed]
     for position in range(registry.n_words):
         kinds = _kinds(registry, "data", position)
         for kind in sorted({k for k in kinds if k}):
-            strict = words.is_strict_word(words.data_word(body, position), kind)
+            strict = words.is_strict_word(words.data_word(data, position), kind)
             if strict is not None:
                 checks.append(~by_def([k == kind for k in kinds], "boolean") | strict)
-    return no_fields | reduce(lambda a, b: a & b, checks)
+    return (needed == 0) | reduce(lambda a, b: a & b, checks)
 
 
 def decode_logs(logs: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
@@ -112,9 +111,9 @@ def _payload(registry: Registry) -> Column:
         by_def([d.protocol for d in defs], "string"),
     )
     topics = [
-        _text(registry, "topic", p, words.topic_word(F.get("topics", F.lit(p)))) for p in range(1, registry.n_topics + 1)
+        _text(registry, "topic", p, F.get("topics", F.lit(p))) for p in range(1, registry.n_topics + 1)
     ]
-    data = [_text(registry, "data", p, words.data_word(F.col(BODY), p)) for p in range(registry.n_words)]
+    data = [_text(registry, "data", p, words.data_word(F.col(DATA), p)) for p in range(registry.n_words)]
     values = F.concat(
         metadata,
         F.slice(F.array(*topics), F.lit(1), by_def([len(d.topic_fields) for d in defs], "int")),
@@ -123,13 +122,13 @@ def _payload(registry: Registry) -> Column:
     return F.map_from_arrays(names, F.transform(values, words.finish_text))
 
 
-def _text(registry: Registry, source: str, position: int, word: Column) -> Column:
+def _text(registry: Registry, source: str, position: int, raw: Column) -> Column:
     kinds = _kinds(registry, source, position)
     kind = by_def(kinds, "string")
     decode = words.topic_text if source == "topic" else words.data_text
     text = F.lit(None).cast("string")
     for one in sorted({k for k in kinds if k}):
-        text = F.when(kind == one, decode(word, one)).otherwise(text)
+        text = F.when(kind == one, decode(raw, one)).otherwise(text)
     return text
 
 

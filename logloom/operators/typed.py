@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import words
 from ..registry import DEFAULT, EventDef, Registry
 from ..registry.model import by_def
-from .decode import BODY, check_logs
+from .decode import DATA, check_logs
 from .shape import DEAD_LETTER, TABLES, EventTable, ShapedColumn, header, table_of_label
 
 Source = tuple[str, int, str]  # ("topic" or "data", position, type)
@@ -31,8 +31,8 @@ def table_rows(targeted: DataFrame, table: EventTable, registry: Registry = DEFA
     """The rows of one event table, from logs with a ``target``."""
     defs = registry.definitions
     rows = targeted.where(F.col("target") == table.name)
-    if BODY not in rows.columns:
-        rows = rows.withColumn(BODY, words.data_body(F.col("data")))
+    if DATA not in rows.columns:
+        rows = rows.withColumn(DATA, words.data_bytes(F.col("data")))
     return rows.select(
         *header(by_def([d.protocol for d in defs], "string"), by_def([d.version for d in defs], "string"), F.lower("address")),
         *[_column(spec, table, registry).alias(spec.name) for spec in table.columns],
@@ -56,15 +56,15 @@ def dead_letter_rows(targeted: DataFrame) -> DataFrame:
 
 def _column(spec: ShapedColumn, table: EventTable, registry: Registry) -> Column:
     sources = [_sources(d, spec) if d.event in table.labels else [] for d in registry.definitions]
-    kinds = sorted({kind for found in sources for _, _, kind in found})
-    if not kinds:
+    kinds = [found[0][2] if found else None for found in sources]
+    distinct = sorted({k for k in kinds if k})
+    if not distinct:
         return F.lit(None).cast(spec.sql_type)
-    ranks = range(max(map(len, sources)))
-    word = F.coalesce(*[_word([s[rank] if rank < len(s) else None for s in sources]) for rank in ranks])
-    if len(kinds) == 1:
-        return _value(word, kinds[0], spec.sql_type)
-    kind = by_def([s[0][2] if s else None for s in sources], "string")
-    return F.coalesce(*[F.when(kind == one, _value(word, one, spec.sql_type)) for one in kinds])
+    topic, data = _topic(sources), _data_word(sources)
+    if len(distinct) == 1:
+        return _value(topic, data, distinct[0], spec.sql_type)
+    kind = by_def(kinds, "string")
+    return F.coalesce(*[F.when(kind == one, _value(topic, data, one, spec.sql_type)) for one in distinct])
 
 
 def _sources(definition: EventDef, spec: ShapedColumn) -> list[Source]:
@@ -82,29 +82,49 @@ def _sources(definition: EventDef, spec: ShapedColumn) -> list[Source]:
     return found
 
 
-def _word(sources: list[Source | None]) -> Column:
-    def positions(source: str) -> Column | None:
-        values = [s[1] if s and s[0] == source else None for s in sources]
-        return by_def(values, "int") if any(v is not None for v in values) else None
+def _topic(sources: list[list[Source]]) -> Column | None:
+    """The first topic a row's definition names for the column that the log really has."""
+    per_def = [[p for kind, p, _ in found if kind == "topic"] for found in sources]
+    ranks = range(max(map(len, per_def)))
+    choices = [F.get("topics", by_def([p[r] if r < len(p) else None for p in per_def], "int")) for r in ranks]
+    return F.coalesce(*choices) if choices else None
 
-    topic, data = positions("topic"), positions("data")
-    from_topic = words.topic_word(F.get("topics", topic)) if topic is not None else None
-    from_data = words.data_word(F.col(BODY), data) if data is not None else None
-    if from_topic is None:
-        return from_data
-    if from_data is None:
+
+def _data_word(sources: list[list[Source]]) -> Column | None:
+    positions = [next((p for kind, p, _ in found if kind == "data"), None) for found in sources]
+    if all(p is None for p in positions):
+        return None
+    return words.data_word(F.col(DATA), by_def(positions, "int"))
+
+
+def _value(topic: Column | None, data: Column | None, kind: str, sql_type: str) -> Column:
+    if topic is None:
+        return _data_value(data, kind, sql_type)
+    from_topic = _topic_value(topic, kind, sql_type)
+    if data is None:
         return from_topic
-    return F.when(data.isNotNull(), from_data).otherwise(from_topic)
-
-
-def _value(word: Column, kind: str, sql_type: str) -> Column:
-    direct = {
-        ("address", "string"): words.address,
-        ("uint", "decimal(38,0)"): words.uint_decimal,
-        ("uint", "bigint"): words.uint_bigint,
-        ("uint", "int"): words.uint_int,
-        ("bool", "boolean"): words.boolean,
-    }.get(("uint" if kind.startswith("uint") else kind, sql_type))
-    if direct:
-        return direct(word)
-    return words.finish_text(words.topic_text(word, kind)).try_cast(sql_type)
+    return F.when(topic.isNotNull(), from_topic).otherwise(_data_value(data, kind, sql_type))
+
+
+_DIRECT = {
+    ("uint", "decimal(38,0)"): words.uint_decimal,
+    ("uint", "bigint"): words.uint_bigint,
+    ("uint", "int"): words.uint_int,
+    ("bool", "boolean"): words.boolean,
+}
+
+
+def _topic_value(topic: Column, kind: str, sql_type: str) -> Column:
+    direct = _DIRECT.get(("uint" if kind.startswith("uint") else kind, sql_type))
+    return direct(words.topic_word(topic)) if direct else _as_type(words.topic_text(topic, kind), kind, sql_type)
+
+
+def _data_value(word: Column, kind: str, sql_type: str) -> Column:
+    direct = _DIRECT.get(("uint" if kind.startswith("uint") else kind, sql_type))
+    return direct(word) if direct else _as_type(words.data_text(word, kind), kind, sql_type)
+
+
+def _as_type(text: Column, kind: str, sql_type: str) -> Column:
+    if kind.startswith("uint"):
+        text = words.finish_text(text)
+    return text if sql_type == "string" else text.try_cast(sql_type)

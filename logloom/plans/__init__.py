@@ -1,0 +1,3 @@
+from .pipeline import run, stage_logs, target_counts
+
+__all__ = ["run", "stage_logs", "target_counts"]

@@ -1,0 +1,4 @@
+from .raw_logs import RAW_SCHEMA, read_raw_logs
+from .sinks import APPEND, OVERWRITE_PARTITIONS, append_jdbc, write_table
+
+__all__ = ["APPEND", "OVERWRITE_PARTITIONS", "RAW_SCHEMA", "append_jdbc", "read_raw_logs", "write_table"]
