@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..registry.model import constant
 
 WORD = 32  # bytes
-_WIDE_MARK = "wide:"
+WIDE_MARK = "wide:"
 _HEX = "0123456789abcdef"
 
 
@@ -207,13 +207,13 @@ def marked_uint_text(word: Column) -> Column:
     return (
         F.when(_slice(word, 0, 24) == _zeros(24), low)
         .when(_slice(word, 0, 17) == _zeros(17), large)
-        .otherwise(F.concat(F.lit(_WIDE_MARK), F.hex(word)))
+        .otherwise(F.concat(F.lit(WIDE_MARK), F.hex(word)))
     )
 
 
 def finish_text(text: Column) -> Column:
-    digits = F.substr(text, F.lit(len(_WIDE_MARK) + 1))
-    return F.when(text.startswith(_WIDE_MARK), _wide_text(digits)).otherwise(text)
+    digits = F.substr(text, F.lit(len(WIDE_MARK) + 1))
+    return F.when(text.startswith(WIDE_MARK), _wide_text(digits)).otherwise(text)
 
 
 def _wide_text(digits: Column) -> Column:

@@ -16,7 +16,7 @@ BAD_TOPIC = "invalid topic word at position {}"
 
 # columns that exist only between the steps of this module and of ``typed``
 DATA = "_data_bytes"
-WORK_COLUMNS = ("def_id", "log_error", DATA)
+VALUES = "_values"
 
 
 def route_logs(logs: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
@@ -80,46 +80,53 @@ def _good_data(registry: Registry) -> Column:
 
 
 def decode_logs(logs: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
-    """Adds ``decode_result``: ``success``, the decoded fields as a text map, or the error and raw input."""
+    """Adds ``decode_result``: ``success``, the decoded fields as a text map, or the error and raw input.
+
+    ``def_id`` stays as a column: the definition the log was decoded with.
+    """
     checked = check_logs(logs, registry)
     ok = F.col("log_error").isNull()
+    values = checked.withColumn(VALUES, F.when(ok, _values(registry)))
+    # a row without wide words never enters the interpreted lambda, and its argument is computed already
+    texts = F.when(
+        F.concat_ws("", VALUES).contains(words.WIDE_MARK), F.transform(VALUES, words.finish_text)
+    ).otherwise(F.col(VALUES))
     result = F.struct(
         ok.alias("success"),
-        F.when(ok, _payload(registry)).alias("data"),
+        F.map_from_arrays(_names(registry), texts).alias("data"),
         F.col("log_error").alias("error"),
         F.when(~ok, F.col("topics")).alias("raw_topics"),
         F.when(~ok, F.col("data")).alias("raw_data"),
     )
-    return checked.withColumn("decode_result", result).drop(*WORK_COLUMNS)
+    return values.withColumn("decode_result", result).drop("log_error", DATA, VALUES)
+
 
+def _names(registry: Registry) -> Column:
+    metadata = ["_event", "_version", "_contract", "_protocol"]
+    names = [metadata + [n for n, _ in d.topic_fields + d.data_fields] for d in registry.definitions]
+    return by_def(names, "array<string>")
 
-def _payload(registry: Registry) -> Column:
-    """Metadata, then the topic fields, then the data fields, as map<string,string>.
+
+def _values(registry: Registry) -> Column:
+    """Metadata, then the topic fields, then the data fields.
 
     Every position is decoded by one expression that picks the type of the row's definition, so
     the plan grows with the number of positions (15), not with definitions x fields.
     """
     defs = registry.definitions
-    names = by_def(
-        [["_event", "_version", "_contract", "_protocol"] + [n for n, _ in d.topic_fields + d.data_fields] for d in defs],
-        "array<string>",
-    )
     metadata = F.array(
         by_def([d.event for d in defs], "string"),
         by_def([d.version for d in defs], "string"),
         F.lower("address"),
         by_def([d.protocol for d in defs], "string"),
     )
-    topics = [
-        _text(registry, "topic", p, F.get("topics", F.lit(p))) for p in range(1, registry.n_topics + 1)
-    ]
+    topics = [_text(registry, "topic", p, F.get("topics", F.lit(p))) for p in range(1, registry.n_topics + 1)]
     data = [_text(registry, "data", p, words.data_word(F.col(DATA), p)) for p in range(registry.n_words)]
-    values = F.concat(
+    return F.concat(
         metadata,
         F.slice(F.array(*topics), F.lit(1), by_def([len(d.topic_fields) for d in defs], "int")),
         F.slice(F.array(*data), F.lit(1), by_def([len(d.data_fields) for d in defs], "int")),
     )
-    return F.map_from_arrays(names, F.transform(values, words.finish_text))
 
 
 def _text(registry: Registry, source: str, position: int, raw: Column) -> Column:

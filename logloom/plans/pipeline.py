@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import date
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.decode import DATA
 from ..operators.filters import filter_logs
 from ..operators.shape import DEAD_LETTER, TABLES, EventTable
 from ..operators.typed import dead_letter_rows, table_rows, with_target
@@ -23,7 +27,7 @@ PARQUET_SINKS = ("parquet", "both")
 JDBC_SINKS = ("postgres", "both")
 STAGED = (
     "block_number bigint, block_timestamp timestamp, transaction_hash string, log_index bigint, date date, "
-    "address string, topics array<string>, data string, def_id int, log_error string, target string"
+    f"address string, topics array<string>, data string, {DATA} binary, def_id int, log_error string, target string"
 )
 # The shaping projections are wide: above this size HotSpot would leave the fused method interpreted,
 # so Spark is told to generate one method per expression instead.
@@ -69,22 +73,39 @@ def run(
             counts = target_counts(staged)
             n_dead = counts.get(DEAD_LETTER, 0)
             log.info("decoded %d logs, %d dead letters", sum(counts.values()) - n_dead, n_dead)
-            if n_dead:
-                write_table(dead_letter_rows(staged), output, DEAD_LETTER, mode)
+            jobs = [partial(write_table, dead_letter_rows(staged), output, DEAD_LETTER, mode)] if n_dead else []
             for table in tables:
                 if not counts.get(table.name):
                     log.warning("no rows for %s, nothing written", table.name)
-                    continue
-                rows = table_rows(staged, table, registry)
-                if sink in PARQUET_SINKS:
-                    write_table(rows, output, table.name, mode)
-                if sink in JDBC_SINKS and jdbc:
-                    append_jdbc(rows, table.name, jdbc)
+                elif sink in PARQUET_SINKS or jdbc:
+                    jobs.append(partial(_write_events, staged, table, registry, output, sink, mode, jdbc))
+            _run_all(spark, jobs)
             return counts
         finally:
             delete_path(spark, stage)
 
 
+def _write_events(
+    staged: DataFrame, table: EventTable, registry: Registry, output: str, sink: str, mode: str, jdbc: dict | None
+) -> None:
+    rows = table_rows(staged, table, registry)
+    if sink in PARQUET_SINKS:
+        write_table(rows, output, table.name, mode)
+    if sink in JDBC_SINKS and jdbc:
+        append_jdbc(rows, table.name, jdbc)
+
+
+def _run_all(spark: SparkSession, jobs: list[Callable[[], object]]) -> None:
+    """Submits the independent writes together, so that one table's last tasks do not hold up the next.
+
+    All are waited for; the first failure is raised.
+    """
+    with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    for job in running:
+        job.result()
+
+
 def stage_logs(
     known: DataFrame, path: str, registry: Registry = DEFAULT, tables: tuple[EventTable, ...] = TABLES
 ) -> DataFrame:
@@ -95,8 +116,11 @@ def stage_logs(
     advisory partition size. Without adaptive execution it could not split, so then nothing is gathered.
     """
     spark = known.sparkSession
-    columns = [field.split()[0] for field in STAGED.split(", ")]
-    targeted = with_target(known, registry, tables).select(*columns)
+    dead = F.col("target") == DEAD_LETTER
+    columns = {field.split()[0]: F.col(field.split()[0]) for field in STAGED.split(", ")}
+    # dead letters keep the payload as it came, the others as bytes: half the volume
+    columns |= {"data": F.when(dead, F.col("data")), DATA: F.when(~dead, F.col(DATA))}
+    targeted = with_target(known, registry, tables).select(*[c.alias(name) for name, c in columns.items()])
     if spark.conf.get("spark.sql.adaptive.enabled") == "true":
         targeted = targeted.hint("rebalance", F.col("target"), F.col("date"))
     targeted.write.partitionBy("target").parquet(path)
