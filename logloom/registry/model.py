@@ -9,8 +9,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The route table is broadcast only up to this many rows; a larger one is left to Catalyst.
-MAX_BROADCAST_ROUTES = 200_000
+# Registry tables are broadcast only up to this many rows; larger ones are left to Catalyst.
+MAX_BROADCAST_ROWS = 200_000
 
 Field = tuple[str, str]  # (name, solidity type)
 
@@ -155,10 +155,13 @@ def routes(spark: SparkSession, registry: Registry) -> DataFrame:
     )
 
 
+def _broadcast_within_bound(table: DataFrame, max_rows: int) -> DataFrame:
+    return F.broadcast(table) if max_rows <= MAX_BROADCAST_ROWS else table
+
+
 def broadcast_routes(spark: SparkSession, registry: Registry) -> DataFrame:
     """The route table, with the broadcast hint only while its size is within the bound."""
-    table = routes(spark, registry)
-    return F.broadcast(table) if registry.n_listed <= MAX_BROADCAST_ROUTES else table
+    return _broadcast_within_bound(routes(spark, registry), registry.n_listed)
 
 
 def route_listing(spark: SparkSession, registry: Registry) -> DataFrame:
@@ -166,7 +169,7 @@ def route_listing(spark: SparkSession, registry: Registry) -> DataFrame:
     definitions = event_definitions(spark, registry).drop("topic0", "fields")
     return (
         routes(spark, registry)
-        .join(F.broadcast(definitions), "def_id")
+        .join(_broadcast_within_bound(definitions, len(registry.definitions)), "def_id")
         .select("contract", "event", "version", "topic0", "protocol", "signature")
         .orderBy("contract", "topic0")
     )

@@ -39,30 +39,25 @@ def _formula(name: str, kind: str) -> str:
     return {"uint256": "wide"}.get(kind, kind)
 
 
-def _word(formula: str, j: int) -> Column:
-    """Word j of row k."""
-    narrow = {
-        "timestamp": "1577836800 + k",
-        "mode": "1 + k % 2",
-        "address": f"k * 31 + {j}",
-        "bytes32": f"k * 17 + {j}",
-        "uint16": f"(k + {j}) % 65536",
-        "bool": f"(k + {j}) % 2",
-    }
-    if formula == "wide":
-        high, low = f"(k * 7 + {j}) % 1000003", f"(k * 2654435761 + {j} * 97) % 4294967291"
-        return F.expr(f"lower(concat(lpad(hex({high}), 48, '0'), lpad(hex({low}), 16, '0')))")
-    return F.expr(f"lower(lpad(hex({narrow[formula]}), 64, '0'))")
-
-
-def _slot(source: str, position: int, j: int) -> Column:
-    fields = [d.topic_fields if source == "topic" else d.data_fields for d in DEFAULT.definitions]
-    formulas = [_formula(*f[position]) if position < len(f) else None for f in fields]
-    chosen = by_def(formulas, "string")
-    word = F.lit(None).cast("string")
-    for formula in sorted({f for f in formulas if f}):
-        word = F.when(chosen == formula, _word(formula, j)).otherwise(word)
-    return word
+def _words(fields_per_def: list, first: int) -> Column:
+    """The hex words of a row's definition; word j of row k, with j counted from ``first``."""
+    k, formulas = F.col("k"), [[_formula(*field) for field in fields] for fields in fields_per_def]
+
+    def word(formula: Column, index: Column) -> Column:
+        j = index + first
+        high, low = (k * 7 + j) % 1000003, (k * 2654435761 + j * 97) % 4294967291
+        narrow = (
+            F.when(formula == "address", k * 31 + j)
+            .when(formula == "bytes32", k * 17 + j)
+            .when(formula == "timestamp", k + 1577836800)
+            .when(formula == "mode", k % 2 + 1)
+            .when(formula == "uint16", (k + j) % 65536)
+            .otherwise((k + j) % 2)
+        )
+        wide = F.concat(F.lpad(F.hex(high), 48, "0"), F.lpad(F.hex(low), 16, "0"))
+        return F.lower(F.when(formula == "wide", wide).otherwise(F.lpad(F.hex(narrow), 64, "0")))
+
+    return F.transform(by_def(formulas, "array<string>"), word)
 
 
 def encode_logs(rows: DataFrame, k: Column, ts: Column) -> DataFrame:
@@ -95,16 +90,13 @@ def encode_logs(rows: DataFrame, k: Column, ts: Column) -> DataFrame:
         .when(F.col("case") == 8, F.lit("0x" + CDAI[2:].upper()))
         .otherwise(F.col("contract"))
     )
-    topics = [F.concat(F.lit("0x"), _slot("topic", p, p + 1)) for p in range(DEFAULT.n_topics)]
-    topics[2] = F.when(F.col("case") == 13, F.lit("0xzz")).otherwise(topics[2])
-    n_topics = by_def([1 + len(d.topic_fields) for d in DEFAULT.definitions], "int")
-    n_topics = F.when(F.col("case") == 5, 0).when(F.col("case") == 11, 3).otherwise(n_topics)
-    topic_list = F.slice(F.array(topic0, *topics), F.lit(1), n_topics)
-
-    data = [_slot("data", p, 10 + p) for p in range(DEFAULT.n_words)]
-    data[0] = F.when(F.col("case") == 12, F.concat(F.lit("ff"), F.substr(data[0], F.lit(3)))).otherwise(data[0])
-    data[1] = F.when(F.col("case") == 10, F.lit("f" * 64)).otherwise(data[1])
-    body = F.concat_ws("", F.lit("0x"), *data)
+    words = F.transform(
+        _words([d.topic_fields for d in DEFAULT.definitions], 1),
+        lambda w, i: F.when((F.col("case") == 13) & (i == 2), F.lit("0xzz")).otherwise(F.concat(F.lit("0x"), w)),
+    )
+    n_topics = F.when(F.col("case") == 5, 0).when(F.col("case") == 11, 3).otherwise(1 + DEFAULT.n_topics)
+    topic_list = F.slice(F.concat(F.array(topic0), words), F.lit(1), n_topics)
+    body = F.concat(F.lit("0x"), F.array_join(_words([d.data_fields for d in DEFAULT.definitions], 10), ""))
     return base.select(
         F.col("ts").cast("date").alias("date"),
         (F.col("k") + 18_000_000).alias("block_number"),
@@ -123,6 +115,8 @@ def encode_logs(rows: DataFrame, k: Column, ts: Column) -> DataFrame:
         .when(F.col("case") == 3, F.lit(None))
         .when(F.col("case") == 4, F.lit(""))
         .when(F.col("case") == 9, F.concat("body", F.lit("f" * 64)))
+        .when(F.col("case") == 10, F.concat(F.substr("body", F.lit(1), F.lit(66)), F.lit("f" * 64), F.substr("body", F.lit(131))))
+        .when(F.col("case") == 12, F.concat(F.lit("0xff"), F.substr("body", F.lit(5))))
         .otherwise(F.col("body"))
         .alias("data"),
     )
