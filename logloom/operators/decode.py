@@ -11,10 +11,11 @@ from ..functions import words
 from ..registry import DEFAULT, Registry, broadcast_routes
 from ..registry.model import by_def
 
+# Fixed value: the error text of every log without a route or with bad data.
 NOT_DECODED = "No matching ABI or decode_log returned None"
 BAD_TOPIC = "invalid topic word at position {}"
 
-# columns that exist only between the steps of this module and of ``typed``
+# columns that exist only between the steps of decoding
 DATA = "_data_bytes"
 VALUES = "_values"
 
