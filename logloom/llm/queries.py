@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import decontamination, near_dup, packing
+from logloom.llm import decontamination, near_dup, packing, phrase_dedup
 from logloom.llm.storage import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = phrase_dedup.remove_recurring(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -38,6 +43,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_near_duplicates": op2_near_duplicates,
+    "op7_phrase_dedup": op7_phrase_dedup,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
 }
