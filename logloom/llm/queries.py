@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import decontamination, near_dup, packing, phrase_dedup
+from logloom.llm import decontamination, license_scan, line_dedup, near_dup, packing, phrase_dedup, quality_rules
 from logloom.llm.storage import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,21 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_boilerplate(read_table(spark, sf_dir, "documents"))
+    return cleaned.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", F.col("clean_text").alias("text"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
+
+
 def op7_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = phrase_dedup.remove_recurring(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -43,6 +58,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_license_scan": op6_license_scan,
     "op7_phrase_dedup": op7_phrase_dedup,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
