@@ -3,10 +3,11 @@
 A window is 35 consecutive words of one document. Words covered by a window whose words also start anywhere
 else, in the same document too, are removed; the first occurrence is no exception.
 
-1. Anchors. Every window holds 25 runs of 11 words; the one with the smallest hash is its anchor, so equal windows
-   have equal anchors. One pass counts anchor places (about one in thirteen words); those found once are dropped.
-2. Passages. A second pass hashes only windows whose anchor recurs, as told by a bit filter of fixed size. Windows
-   found twice or more are confirmed by a grouped count, whatever the filter let through.
+1. Anchors. Every window holds 18 runs of 18 words; the one with the smallest hash is its anchor, so equal windows
+   have equal anchors. One pass counts anchor places (about one in ten words); those found once are dropped.
+2. Passages. A second pass counts the windows whose anchor recurs, as told by a bit filter of fixed size. Windows
+   found twice or more are confirmed by a grouped count, whatever the filter let through. A third pass, with a
+   second filter, lists the places of confirmed windows, and a join with the confirmed ones makes that exact.
 3. Automata. The confirmed places of each document are joined to its text. The documents of a chunk of about a
    megabyte form a shard: their recurring passages are compiled into one Aho-Corasick automaton, over characters
    that stand for words, and all documents of the chunk are streamed through it to locate every occurrence. A shard
@@ -32,7 +33,7 @@ from logloom.llm.storage import staged
 from logloom.llm.words import NOT_WHITE, Chunk, chunks, gram_hashes, mixed, spans_union
 
 WINDOW = 35
-ANCHOR = 11
+ANCHOR = 18
 #: Words of a chunk are written as one character each up to this many distinct ones, else as two.
 _ONE_CHARACTER = 1_000_000
 
@@ -78,19 +79,45 @@ def recurring_anchors(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     return found.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
 
 
-def _candidate_windows(keyed: DataFrame, anchors, window: int) -> DataFrame:
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _candidates(column: pa.Array, anchors, window: int) -> Iterator[tuple[Chunk, np.ndarray, np.ndarray, np.ndarray]]:
+    """(chunk, starts, keys, checks) of the windows whose anchor may recur."""
+    for chunk in chunks(column, NOT_WHITE, fold=False):
+        starts, _, hashes = window_anchors(chunk, window)
+        starts = starts[anchors.value.may_have(hashes)]
+        if len(starts):
+            yield chunk, starts, *window_keys(chunk, starts, window)
+
+
+def recurring_windows(keyed: DataFrame, anchors, window: int) -> DataFrame:
+    """(key, check) of the windows that occur twice or more."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, keys, checks in _candidates(batch.column(2), anchors, window):
+                order = np.lexsort((checks, keys))
+                keys, checks = keys[order], checks[order]
+                first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (checks[1:] != checks[:-1])]))
+                counts = np.diff(np.append(first, len(keys)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[first]), pa.array(checks[first]), pa.array(np.minimum(counts, 2), pa.int64())], names=["key", "check", "n"])
+
+    found = keyed.mapInArrow(counted, "key long, check int, n long")
+    return found.groupBy("key", "check").agg(F.sum("n").alias("n")).where("n > 1").select("key", "check")
+
+
+def _places(keyed: DataFrame, anchors, confirmed, window: int) -> DataFrame:
+    """(key, check, row_key, start) of the windows that pass both filters; ``start`` counts words in the document."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(1).to_numpy(zero_copy_only=False)
-            for chunk in chunks(batch.column(2), NOT_WHITE, fold=False):
-                starts, _, hashes = window_anchors(chunk, window)
-                starts = starts[anchors.value.may_have(hashes)]
-                doc = chunk.doc_of_word()[starts] if len(starts) else starts
-                key, check = window_keys(chunk, starts, window) if len(starts) else (np.empty(0, np.int64), np.empty(0, np.int32))
+            rows = batch.column(1).to_numpy(zero_copy_only=False)
+            for chunk, starts, keys, checks in _candidates(batch.column(2), anchors, window):
+                passed = confirmed.value.may_have(keys.view(np.uint64))
+                starts = starts[passed]
+                doc = chunk.doc_of_word()[starts]
                 own = (starts - chunk.doc_words[doc]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(check), pa.array(keys[chunk.first + doc]), pa.array(own)], names=["key", "check", "row_key", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[passed]), pa.array(checks[passed]), pa.array(rows[chunk.first + doc]), pa.array(own)], names=["key", "check", "row_key", "start"])
 
-    return keyed.mapInArrow(windows, "key long, check int, row_key long, start int")
+    return keyed.mapInArrow(listed, "key long, check int, row_key long, start int")
 
 
 def _located(chunk: Chunk, places: list[list[dict] | None], window: int) -> np.ndarray:
@@ -157,8 +184,8 @@ def remove_recurring(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     text = F.col("text").cast("string")
     keyed = documents.select("doc_id", F.xxhash64("doc_id", text).alias("row_key"), text.alias("text"))
     anchors = broadcast_filter(recurring_anchors(documents, window))
-    found = staged(_candidate_windows(keyed, anchors, window))
-    confirmed = staged(found.groupBy("key", "check").agg(F.count("*").alias("n")).where("n > 1").select("key", "check"))
+    confirmed = staged(recurring_windows(keyed, anchors, window))
+    found = _places(keyed, anchors, broadcast_filter(confirmed.select("key")), window)
     places = found.join(confirmed, ["key", "check"]).groupBy("row_key").agg(F.collect_list(F.struct("start", "check")).alias("places"))
     joined = keyed.join(places, "row_key", "left").select("doc_id", "text", "places")
     id_type = documents.schema["doc_id"].dataType.simpleString()
