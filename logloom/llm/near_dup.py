@@ -6,13 +6,15 @@ empty set and is linked with nothing. Two documents are linked when their Jaccar
 groups are the connected components.
 
 1. One pass over the texts gives each document a digest of its set, 32 bands of 4 MinHash values, and an odd
-   sketch: every MinHash sample toggles one of 512 bits. Equal sets become one node.
+   sketch: each of 256 MinHash samples toggles one of 1,024 bits. Equal sets become one node.
 2. Nodes that share a band form a bucket. Each node is compared with one centre first, the smallest node of its
-   buckets; what that leaves apart is compared bucket by bucket, in blocks, never inside one group: a pair is
-   compared only if its ends are still in different groups. No bucket is capped.
-3. Before sets are compared, the population count of the XOR of two sketches estimates their similarity. Pairs
-   below ``SKETCH_FLOOR`` are dropped; a pair at 0.75 falls below it about once in ten million times.
-4. The remaining pairs are confirmed on the full sets, carried as 64-bit hashes.
+   buckets, on full sets. Confirmed links make groups.
+3. Buckets that still hold several groups are searched in blocks, by the population count of the XOR of sketches,
+   for nodes close to a node of another group. Only the nodes are passed on, never the pairs. Estimates below
+   ``SKETCH_FLOOR`` are dropped; a pair at 0.75 falls below it about once in ten million times.
+4. Groups with close nodes form clusters. Their nodes' full sets, as 64-bit hashes, are compared in blocks of
+   similar set sizes, and the links found are passed on. No bucket or cluster is capped; the work within one is
+   spread over its blocks.
 
 A pair at exactly 0.75 shares no band with probability 5e-6; above that, less. Repeated rows, equal ids included,
 are rows of the same group. Empty tables give no rows. Other columns are ignored.
@@ -36,10 +38,11 @@ from logloom.llm.words import NOT_WHITE, Chunk, chunks, gram_hashes, mixed
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 75
 BANDS, ROWS = 32, 4
-SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
-SKETCH_FLOOR = 0.44
+SAMPLES = 256
+SKETCH_BITS = 1024
+SKETCH_FLOOR = 0.58
 BLOCK = 1024
+SET_BLOCK = 512
 
 _rng = np.random.default_rng(75)
 _XORS = _rng.integers(0, 1 << 63, size=SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -87,8 +90,8 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """Eight 64-bit words a row: bit h is set if an odd number of (sample number, value) pairs falls on it."""
-    place = mixed(samples ^ _SAMPLE_KEYS) >> np.uint64(64 - 9)
+    """Sixteen 64-bit words a row: bit h is set if an odd number of (sample number, value) pairs falls on it."""
+    place = mixed(samples ^ _SAMPLE_KEYS) >> np.uint64(64 - 10)
     flags = np.zeros((len(samples), SKETCH_BITS), dtype=np.uint8)
     for i in range(SAMPLES):
         flags[np.arange(len(samples)), place[:, i].astype(np.int64)] ^= 1
@@ -161,13 +164,12 @@ def _sets_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
 def confirmed(documents: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes that are linked: sketches first, then the full sets."""
     sketch = nodes.select("node", "sketch")
-    near = (
+    near = staged(
         pairs.join(sketch.withColumnsRenamed({"node": "a", "sketch": "sketch_a"}), "a")
         .join(sketch.withColumnsRenamed({"node": "b", "sketch": "sketch_b"}), "b")
         .where(F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x) <= largest_distance())
         .select("a", "b")
     )
-    near = staged(near)
     ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
     sets = staged(_sets_of(documents, nodes.join(ends, "node").select("node", "row_key")))
     joined = near.join(sets.withColumnsRenamed({"node": "b", "shingles": "set_b"}), "b").join(sets.withColumnsRenamed({"node": "a", "shingles": "set_a"}), "a")
@@ -177,15 +179,52 @@ def confirmed(documents: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataF
             flags = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True)) if 100 * min(len(x), len(y)) >= SIMILARITY_PERCENT * max(len(x), len(y)) else 0
-                flags.append(100 * common >= SIMILARITY_PERCENT * (len(x) + len(y) - common))
+                flags.append(bool(_is_link(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))))
             yield batch.filter(pa.array(flags, pa.bool_())).select([0, 1])
 
     return joined.select("a", "b", "set_a", "set_b").mapInArrow(linked, "a binary, b binary").distinct()
 
 
-def _block_pairs(members: DataFrame, sketch: DataFrame) -> DataFrame:
-    """Pairs of one bucket's members whose groups differ and whose sketches are close.
+def _is_link(common, size_a, size_b):
+    return 100 * common >= SIMILARITY_PERCENT * (size_a + size_b - common)
+
+
+class _Groups:
+    """Union-find over labels."""
+
+    def __init__(self):
+        self.up: dict[bytes, bytes] = {}
+
+    def root(self, label: bytes) -> bytes:
+        while (parent := self.up.setdefault(label, label)) != label:
+            self.up[label] = self.up[parent]
+            label = parent
+        return label
+
+    def join(self, a: bytes, b: bytes) -> bool:
+        """True if they were apart."""
+        a, b = sorted((self.root(a), self.root(b)))
+        self.up[b] = a
+        return a != b
+
+
+def _cells(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
+    """The rows of equal keys, of batches sorted by their first ``n_keys`` columns."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        keys = np.stack([table.column(c).to_numpy() for c in range(n_keys)], axis=1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for first, last in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
+            yield table.slice(first, last - first)
+        held = table.slice(cuts[-1]) if len(cuts) else table
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _close_nodes(members: DataFrame, sketch: DataFrame) -> DataFrame:
+    """(node, label, other): nodes with a close sketch in another group of their bucket, and a group reached so.
 
     members: (bucket, node, label, main), ``main`` the group of the bucket's centre. Those outside the main group
     meet all members, in blocks of ``BLOCK`` by ``BLOCK``.
@@ -194,41 +233,93 @@ def _block_pairs(members: DataFrame, sketch: DataFrame) -> DataFrame:
     sizes = members.groupBy("bucket").agg(F.ceil(F.count_if(odd) / BLOCK).alias("odd_blocks"), F.ceil(F.count("*") / BLOCK).alias("all_blocks"))
     sized = members.join(staged(sizes.where("odd_blocks > 0")), "bucket").join(sketch, "node")
     spread = F.xxhash64("node")
-    one = sized.where(odd).select("bucket", F.pmod(spread, "odd_blocks").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_blocks") - 1)).alias("j"), F.lit(True).alias("is_odd"), "node", "label", "sketch")
-    two = sized.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("odd_blocks") - 1)).alias("i"), F.pmod(spread, "all_blocks").alias("j"), F.lit(False).alias("is_odd"), "node", "label", "sketch")
-    cells = one.union(two).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    one = sized.where(odd).select("bucket", F.pmod(spread, "odd_blocks").alias("i"), upto("all_blocks").alias("j"), F.lit(True).alias("is_odd"), "node", "label", "sketch")
+    two = sized.select("bucket", upto("odd_blocks").alias("i"), F.pmod(spread, "all_blocks").alias("j"), F.lit(False).alias("is_odd"), "node", "label", "sketch")
     most = largest_distance()
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            cell = np.stack([table.column(c).to_numpy() for c in ("bucket", "i", "j")], axis=1)
-            cuts = np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1
-            if not len(cuts):
-                held = table
-                continue
-            held = table.slice(cuts[-1])
-            yield from _close_in(table.slice(0, cuts[-1]), cuts[:-1], most)
-        if held is not None:
-            yield from _close_in(held, np.empty(0, dtype=np.int64), most)
-
-    return cells.mapInArrow(close, "a binary, b binary").distinct()
-
-
-def _close_in(table: pa.Table, cuts: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
-    nodes, labels = table.column("node").to_pylist(), np.array(table.column("label").to_pylist(), dtype=object)
-    is_odd = table.column("is_odd").to_numpy()
-    sketches = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(nodes), -1)
-    found: set[tuple[bytes, bytes]] = set()
-    for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), len(nodes)]):
-        one, two = first + np.flatnonzero(is_odd[first:last]), first + np.flatnonzero(~is_odd[first:last])
-        for k in one.tolist():
-            distance = np.bitwise_count(sketches[two] ^ sketches[k]).sum(axis=1)
-            for m in two[(distance <= most) & (labels[two] != labels[k])].tolist():
-                found.add((min(nodes[k], nodes[m]), max(nodes[k], nodes[m])))
-    if found:
-        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
+        groups, found = _Groups(), {}
+        for cell in _cells(batches, 3):
+            nodes, labels = cell.column("node").to_pylist(), np.array(cell.column("label").to_pylist(), dtype=object)
+            is_odd = cell.column("is_odd").to_numpy()
+            one, two = np.flatnonzero(is_odd), np.flatnonzero(~is_odd)
+            sketches = _matrix(cell.column("sketch"))
+            for k in one.tolist():
+                distance = np.bitwise_count(sketches[two] ^ sketches[k]).sum(axis=1)
+                near = two[(distance <= most) & (labels[two] != labels[k])].tolist()
+                for m in near:
+                    groups.join(labels[k], labels[m])
+                    found[nodes[m]] = labels[m]
+                if near:
+                    found[nodes[k]] = labels[k]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (list(found), list(found.values()), [groups.root(x) for x in found.values()])], names=["node", "label", "other"])
+
+    cells = one.union(two).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return cells.mapInArrow(close, "node binary, label binary, other binary").distinct()
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    column = column.combine_chunks()
+    return column.flatten().to_numpy().view(np.uint64).reshape(len(column), -1)
+
+
+def _cluster_links(members: DataFrame) -> DataFrame:
+    """Links (a, b) between labels of a cluster, on full sets.
+
+    members: (cluster, node, label, sketch, shingles). Sets are linked only if neither is below three quarters of
+    the other, so a set meets those of its own size class and of the two beside it, in blocks of ``SET_BLOCK``.
+    """
+    size = F.octet_length("shingles") / 8
+    classed = staged(members.withColumn("size_class", F.floor(F.log(size) / F.lit(-np.log(SIMILARITY_PERCENT / 100)) + 1e-9)))
+    blocks = staged(classed.groupBy("cluster", "size_class").agg(F.ceil(F.count("*") / SET_BLOCK).alias("blocks")))
+    own = blocks.select("cluster", "size_class", F.col("blocks").alias("own_blocks"))
+    above = blocks.select("cluster", (F.col("size_class") - 1).alias("size_class"), F.col("blocks").alias("above_blocks"))
+    below = blocks.select("cluster", (F.col("size_class") + 1).alias("size_class"), F.col("blocks").alias("below_blocks"))
+    counts = staged(own.join(above, ["cluster", "size_class"], "left").join(below, ["cluster", "size_class"], "left").na.fill(0))
+    zero = F.lit(0).cast("long")
+    numbers = lambda n: F.when(F.col(n) > 0, F.sequence(zero, F.col(n) - 1)).otherwise(F.array().cast("array<long>"))
+    block, level = F.pmod(F.xxhash64("node"), "own_blocks"), F.col("size_class")
+    cell = lambda low, step, i, j: F.struct(low.alias("low"), F.lit(step).cast("long").alias("step"), i.alias("i"), j.alias("j"))
+    cells = F.concat(
+        F.transform(numbers("own_blocks"), lambda j: cell(level, 0, F.least(block, j), F.greatest(block, j))),
+        F.transform(numbers("above_blocks"), lambda j: cell(level, 1, block, j)),
+        F.transform(numbers("below_blocks"), lambda j: cell(level - 1, 1, j, block)),
+    )
+    placed = classed.join(counts, ["cluster", "size_class"]).select(F.xxhash64("cluster").alias("cluster"), F.explode(cells).alias("cell"), "node", "label", "sketch", "shingles")
+    keys = ["cluster", "low", "step", "i", "j"]
+    placed = placed.select("cluster", "cell.*", "node", "label", "sketch", "shingles").repartition(*keys).sortWithinPartitions(*keys)
+    most = largest_distance()
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _cells(batches, len(keys)):
+            labels = cell.column("label").to_pylist()
+            if len(set(labels)) > 1:
+                sets = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in cell.column("shingles")]
+                found = list(_links_in(labels, sets, _matrix(cell.column("sketch")), most))
+                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    return placed.mapInArrow(linked, "a binary, b binary").distinct()
+
+
+def _links_in(labels: list[bytes], sets: list[np.ndarray], sketches: np.ndarray, most: int) -> Iterator[tuple[bytes, bytes]]:
+    """A spanning set of the links between labels: pairs that links found before connect are passed over."""
+    names = {label: i for i, label in enumerate(dict.fromkeys(labels))}
+    code = np.array([names[x] for x in labels])
+    sizes = np.array([len(x) for x in sets])
+    starts = np.cumsum(sizes) - sizes
+    distinct, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    groups, flags = _Groups(), np.zeros(len(distinct), dtype=bool)
+    for k in range(len(sets)):
+        near = (np.bitwise_count(sketches[k + 1 :] ^ sketches[k]).sum(axis=1) <= most) & (code[k + 1 :] != code[k])
+        if near.any():
+            own = ids[starts[k] : starts[k] + sizes[k]]
+            flags[own] = True
+            common = np.add.reduceat(flags[ids], starts, dtype=np.int64)[k + 1 :]
+            flags[own] = False
+            for m in (k + 1 + np.flatnonzero(near & _is_link(common, sizes[k], sizes[k + 1 :]))).tolist():
+                if groups.join(labels[k], labels[m]):
+                    yield min(labels[k], labels[m]), max(labels[k], labels[m])
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -253,9 +344,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         return rows.join(renamed, F.col(node) == F.col("labelled_node"), "left").withColumn(label, F.coalesce("found", node)).drop("labelled_node", "found")
 
     members = labelled(labelled(shared, "node", "label"), "centre", "main").select("bucket", "node", "label", "main")
-    pairs = _block_pairs(staged(members), nodes.select("node", "sketch")).join(first_pairs, ["a", "b"], "left_anti")
-    more_links = staged(confirmed(documents, staged(pairs), nodes))
-    between = labelled(labelled(more_links, "a", "label_a"), "b", "label_b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).where("a <> b")
+    close = staged(_close_nodes(staged(members), nodes.select("node", "sketch")))
+    reached = connected_components(close.select(F.col("label").alias("a"), F.col("other").alias("b"))).select(F.col("label").alias("cluster"), F.col("node").alias("label"))
+    wanted = staged(close.select("node", "label").distinct().join(reached, "label"))
+    sets = _sets_of(documents, nodes.join(wanted.select("node"), "node").select("node", "row_key"))
+    between = staged(_cluster_links(wanted.join(nodes.select("node", "sketch"), "node").join(sets, "node").select("cluster", "node", "label", "sketch", "shingles")))
     joined = connected_components(between).withColumnsRenamed({"node": "old", "label": "new"})
     group = labelled(nodes.select("node", "doc_id"), "node", "label").join(joined, F.col("label") == F.col("old"), "left").select("node", "doc_id", F.coalesce("new", "label").alias("label"))
     group = staged(group)
