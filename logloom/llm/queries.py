@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import decontamination, license_scan, line_dedup, near_dup, packing, phrase_dedup, quality_rules
+from logloom.llm import decontamination, html_text, license_scan, line_dedup, near_dup, packing, phrase_dedup, quality_rules
 from logloom.llm.storage import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op7_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": op4_quality_rules,
     "op6_license_scan": op6_license_scan,
     "op7_phrase_dedup": op7_phrase_dedup,
+    "op8_html_text": op8_html_text,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
 }
