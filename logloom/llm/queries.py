@@ -7,12 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import decontamination, html_text, license_scan, line_dedup, near_dup, packing, phrase_dedup, quality_classifier, quality_rules
+from logloom.llm import decontamination, html_text, license_scan, line_dedup, near_dup, packing, phrase_dedup, quality_classifier, quality_rules, toxicity
 from logloom.llm.storage import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _label_split(doc_id: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo 5; 0 is held out. A null id has no label and is not held out."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
+
+
+def _scored(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select("doc_id", _label_split().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def _training_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    return read_table(spark, sf_dir, "labels").where(~_label_split()).select("doc_id", F.col(label).alias("label"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = toxicity.classify(read_table(spark, sf_dir, "documents"), _training_labels(spark, sf_dir, "toxic"))
+    return _scored(scores, 0.5)
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -28,19 +46,6 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
-def _label_split(doc_id: str = "doc_id") -> Column:
-    """crc32 of the id as text, modulo 5; 0 is held out. A null id has no label and is not held out."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
-
-
-def _scored(scores: DataFrame, threshold: float) -> DataFrame:
-    return scores.select("doc_id", _label_split().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
-
-
-def _training_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
-    return read_table(spark, sf_dir, "labels").where(~_label_split()).select("doc_id", F.col(label).alias("label"))
-
-
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality_classifier.classify(read_table(spark, sf_dir, "documents"), _training_labels(spark, sf_dir, "quality"))
     return _scored(scores, 0.3)
@@ -79,6 +84,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_rules": op4_quality_rules,
