@@ -7,8 +7,9 @@ characters written apart, joined. Values are normalised by the strings' own weig
 
 Landmarks are the units that most mark toxic training documents, and common ones of clean documents. The Nystroem
 map sends a unit to the inverse square root of the landmarks' kernel matrix times its kernel values; a linear
-support vector machine (squared hinge) is fitted there on labelled sentences. A sentence is represented by its
-most toxic unit, chosen by the model so far; in a toxic document, the sentences that count are its most toxic ones.
+support vector machine (squared hinge) is fitted there on labelled sentences. A sentence is represented by the
+unit that most marks toxic documents; a toxic document's sentences without such a unit are not used, for they may
+be clean.
 The fitted function is linear in the kernel, so it folds into one weight per subsequence, and scoring a unit is a
 sum over its subsequences, whatever the number of landmarks. A document's best units give its probability, by a
 logistic function fitted on the training documents.
@@ -22,7 +23,7 @@ columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -38,7 +39,10 @@ SPAN = 7
 DECAY = 0.6
 TOXIC_LANDMARKS, CLEAN_LANDMARKS = 192, 64
 MOST_DOCUMENTS = 4_000
-ROUNDS = 3
+#: Units that may mark a sentence as toxic, at most; their least log odds, and these over their standard error.
+MOST_MARKS = 4_000
+LEAST_LOG_ODDS, LEAST_MARK = 1.5, 2.5
+RIDGE = 1.0
 #: Units remembered by a worker, with their scores.
 CACHE_UNITS = 300_000
 BEST = 4
@@ -164,7 +168,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(np.hstack([rows, np.ones((len(rows), 1))]) @ self.logistic, -30, 30)))
 
 
-def _support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+def _support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
     """Weights and bias of the linear machine with a squared hinge, by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
@@ -208,77 +212,74 @@ def training_sample(documents: DataFrame, labels: DataFrame, most: int = MOST_DO
     return documents.join(chosen, F.col("doc_id") == F.col("chosen_id")).select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "label")
 
 
-def landmarks_of(sample: DataFrame) -> tuple[list[str], list[str]]:
-    """Units that mark toxic documents, best first, and common units of clean ones."""
+def marking_units(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
+    """Units that mark toxic documents, best first, with their marks, and common units of clean documents.
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A unit is counted once for each pair of neighbours it has, so that copies of a text count once. A mark is the
+    log odds of toxic against clean documents over its standard error.
+    """
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+            found = set()
             for text, label in zip(batch["text"], batch["label"]):
-                counts[int(label)].update(set(units_of(text)))
-            units = list({*counts[0], *counts[1]})
-            yield pd.DataFrame({"unit": units, "toxic": [counts[1][u] for u in units], "clean": [counts[0][u] for u in units]})
-
-    totals = sample.groupBy("label").count().collect()
-    n = {r["label"]: r["count"] for r in totals}
-    if not n.get(0) or not n.get(1):
-        return [], []
-    counts = sample.mapInPandas(counted, "unit string, toxic long, clean long").groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    counts = staged(counts.where((F.length("unit") >= 3) & (F.col("toxic") + F.col("clean") >= 2)))
-    rate_toxic, rate_clean = (F.col("toxic") + 0.5) / (n[1] + 1), (F.col("clean") + 0.5) / (n[0] + 1)
-    # log odds over their standard error
-    mark = F.log(rate_toxic / rate_clean) / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    toxic = counts.where("toxic >= 2").orderBy(mark.desc(), "unit").limit(TOXIC_LANDMARKS).collect()
-    clean = counts.where("clean >= 2").orderBy(mark, "unit").limit(CLEAN_LANDMARKS).collect()
-    return [r["unit"] for r in toxic], [r["unit"] for r in clean]
-
-
-def _labelled_sentences(sample: DataFrame, model: ToxicityModel) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(units, labels, weights): the most toxic unit of sentences, the sentences most toxic in their document."""
-    shared = sample.sparkSession.sparkContext.broadcast(model)
+                units = units_of(text)
+                for before, unit, after in zip(["", *units], units, [*units[1:], ""]):
+                    found.add((unit, zlib.crc32(f"{before} {after}".encode("utf-8", "replace")), int(label)))
+            yield pd.DataFrame(list(found), columns=["unit", "context", "label"])
+
+    contexts = sample.mapInPandas(listed, "unit string, context long, label int").distinct()
+    counts = staged(contexts.groupBy("unit").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")))
+    total = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
+    n = {0: total["clean"], 1: total["toxic"]}
+    if not n[0] or not n[1]:
+        return {}, []
+    odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1) / ((F.col("clean") + 0.5) / (n[0] + 1)))
+    counts = counts.where((F.length("unit") >= 3) & (F.col("toxic") + F.col("clean") >= 2)).withColumn("odds", odds)
+    counts = staged(counts.withColumn("mark", F.col("odds") / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))))
+    toxic = counts.where((F.col("toxic") >= 3) & (F.col("odds") > LEAST_LOG_ODDS) & (F.col("mark") > LEAST_MARK)).orderBy(F.desc("mark"), "unit").limit(MOST_MARKS).collect()
+    clean = counts.where("clean >= 2").orderBy("mark", "unit").limit(CLEAN_LANDMARKS).collect()
+    return {r["unit"]: r["mark"] for r in toxic}, [r["unit"] for r in clean]
+
+
+def labelled_sentences(sample: DataFrame, marks: dict[str, float]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(units, labels, counts): the unit that represents a sentence, over the sample's distinct sentences.
+
+    Of a clean document, the six sentences with the strongest marks count and up to four of the others.
+    """
+    shared = sample.sparkSession.sparkContext.broadcast(marks)
 
     def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        machine = shared.value
         for batch in batches:
-            out: list[tuple[str, int, int]] = []
+            found = set()
             for text, label in zip(batch["text"], batch["label"]):
-                best = []
-                for units in sentences_of(text):
-                    margins = machine.margins(units)
-                    k = int(np.argmax(margins))
-                    best.append((margins[k], units[k]))
-                best.sort(reverse=True)
-                # a toxic document need not be toxic all through; a clean one is clean in every sentence
-                keep = best[:3] if label else best[:6] + best[6::8][:4]
-                out += [(unit, int(label), rank) for rank, (_, unit) in enumerate(keep)]
-            frame = pd.DataFrame(out, columns=["unit", "label", "rank"])
-            yield frame.groupby(["unit", "label", "rank"], as_index=False).size().rename(columns={"size": "n"})
-
-    rows = sample.mapInPandas(chosen, "unit string, label int, rank int, n long").groupBy("unit", "label").agg(F.sum(F.col("n") / (1.0 + F.col("rank"))).alias("weight")).collect()
-    return [r["unit"] for r in rows], np.array([1.0 if r["label"] else -1.0 for r in rows]), np.array([r["weight"] for r in rows])
+                best = sorted(((*max((shared.value.get(u, -1.0), u) for u in units), zlib.crc32(" ".join(units).encode("utf-8", "replace"))) for units in sentences_of(text)), reverse=True)
+                for mark, unit, sentence in best if label else best[:6] + best[6::8][:4]:
+                    if mark > 0 or not label:
+                        found.add((unit, int(label), sentence))
+            yield pd.DataFrame(list(found), columns=["unit", "label", "sentence"])
+
+    rows = sample.mapInPandas(chosen, "unit string, label int, sentence long").distinct().groupBy("unit", "label").agg(F.count("*").cast("double").alias("n")).collect()
+    return [r["unit"] for r in rows], np.array([1.0 if r["label"] else -1.0 for r in rows]), np.array([r["n"] for r in rows])
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     sample = staged(training_sample(documents, labels))
-    toxic, clean = landmarks_of(sample)
+    marks, clean = marking_units(sample)
     model = ToxicityModel()
-    if not toxic:
+    if not marks:
         return model
-    landmarks = list(dict.fromkeys(toxic + clean))
+    landmarks = list(dict.fromkeys([*marks][:TOXIC_LANDMARKS] + clean))
     table = landmark_table(landmarks)
     kernel = features(landmarks, table)
     values, vectors = np.linalg.eigh((kernel + kernel.T) / 2)
-    keep = values > 1e-6 * values.max()
+    keep = values > 1e-3 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    # the first choice of sentences goes by closeness to what marks toxic documents
-    first = np.array([1.0 if u in set(toxic[: TOXIC_LANDMARKS // 4]) else 0.0 for u in landmarks])
-    model = ToxicityModel(table @ first.astype(np.float32) / np.sqrt(max(1.0, first.sum())), 0.0)
-    for _ in range(ROUNDS):
-        units, y, weight = _labelled_sentences(sample, model)
-        for kind in (-1, 1):
-            weight[y == kind] /= max(1e-9, weight[y == kind].sum())
-        w = _support_vectors(features(units, table) @ root, y, weight)
-        model = ToxicityModel((table @ (root @ w[:-1]).astype(np.float32)).astype(np.float32), float(w[-1]))
+    units, y, weight = labelled_sentences(sample, marks)
+    for kind in (-1, 1):
+        weight[y == kind] /= weight[y == kind].sum()
+    w = _support_vectors(features(units, table) @ root, y, weight)
+    model = ToxicityModel((table @ (root @ w[:-1]).astype(np.float32)).astype(np.float32), float(w[-1]))
     model.logistic = _fit_logistic(sample, model)
     return model
 
