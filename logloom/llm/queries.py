@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import decontamination, html_text, license_scan, line_dedup, near_dup, packing, phrase_dedup, quality_classifier, quality_rules, toxicity
+from logloom.llm import decontamination, html_text, license_scan, line_dedup, near_dup, packing, phrase_dedup, quality_classifier, quality_rules, sql, toxicity
 from logloom.llm.storage import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,12 +22,12 @@ def _scored(scores: DataFrame, threshold: float) -> DataFrame:
     return scores.select("doc_id", _label_split().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def _training_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+def training_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     return read_table(spark, sf_dir, "labels").where(~_label_split()).select("doc_id", F.col(label).alias("label"))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = toxicity.classify(read_table(spark, sf_dir, "documents"), _training_labels(spark, sf_dir, "toxic"))
+    scores = toxicity.classify(read_table(spark, sf_dir, "documents"), training_labels(spark, sf_dir, "toxic"))
     return _scored(scores, 0.5)
 
 
@@ -47,7 +47,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = quality_classifier.classify(read_table(spark, sf_dir, "documents"), _training_labels(spark, sf_dir, "quality"))
+    scores = quality_classifier.classify(read_table(spark, sf_dir, "documents"), training_labels(spark, sf_dir, "quality"))
     return _scored(scores, 0.3)
 
 
@@ -95,4 +95,5 @@ QUERIES: dict[str, Query] = {
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
 }
-ORACLE_SQL: dict[str, str] = {}
+#: ``corpus_pipeline.run`` is registered with these where it is installed, see ``__spark_entry__.py``.
+ORACLE_SQL: dict[str, str] = sql.ORACLE_SQL
