@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm.bit_filter import broadcast_filter
 from logloom.llm.components import connected_components
-from logloom.llm.storage import staged
+from logloom.llm.storage import blocks_for, staged
 from logloom.llm.words import NOT_WHITE, Chunk, chunks, gram_hashes, mixed
 
 SHINGLE_WORDS = 5
@@ -42,7 +42,8 @@ SAMPLES = 256
 SKETCH_BITS = 1024
 SKETCH_FLOOR = 0.58
 BLOCK = 1024
-SET_BLOCK = 512
+SET_BLOCK = 256
+NODES_PER_TASK = 10_000
 
 _rng = np.random.default_rng(75)
 _XORS = _rng.integers(0, 1 << 63, size=SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -331,11 +332,12 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     nodes = staged(
         signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     )
+    tasks = blocks_for(nodes.count(), NODES_PER_TASK)
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    centres = staged(banded.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last").drop("last"))
-    shared = staged(banded.join(centres, "bucket"))
+    centres = staged(banded.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last").drop("last"), tasks)
+    shared = staged(banded.join(centres, "bucket"), tasks)
 
-    first_pairs = staged(shared.where("node <> centre").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a")).select("a", "b"))
+    first_pairs = staged(shared.where("node <> centre").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a")).select("a", "b"), tasks)
     first_links = staged(confirmed(documents, first_pairs, nodes))
     labels = connected_components(first_links)
 
@@ -344,16 +346,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         return rows.join(renamed, F.col(node) == F.col("labelled_node"), "left").withColumn(label, F.coalesce("found", node)).drop("labelled_node", "found")
 
     members = labelled(labelled(shared, "node", "label"), "centre", "main").select("bucket", "node", "label", "main")
-    close = staged(_close_nodes(staged(members), nodes.select("node", "sketch")))
-    reached = connected_components(close.select(F.col("label").alias("a"), F.col("other").alias("b"))).select(F.col("label").alias("cluster"), F.col("node").alias("label"))
-    wanted = staged(close.select("node", "label").distinct().join(reached, "label"))
+    close = staged(_close_nodes(staged(members, tasks), nodes.select("node", "sketch")))
+    reached = connected_components(staged(close.select(F.col("label").alias("a"), F.col("other").alias("b")).distinct(), tasks)).select(F.col("label").alias("cluster"), F.col("node").alias("label"))
+    wanted = staged(close.select("node", "label").distinct().join(reached, "label"), tasks)
     sets = _sets_of(documents, nodes.join(wanted.select("node"), "node").select("node", "row_key"))
     between = staged(_cluster_links(wanted.join(nodes.select("node", "sketch"), "node").join(sets, "node").select("cluster", "node", "label", "sketch", "shingles")))
     joined = connected_components(between).withColumnsRenamed({"node": "old", "label": "new"})
     group = labelled(nodes.select("node", "doc_id"), "node", "label").join(joined, F.col("label") == F.col("old"), "left").select("node", "doc_id", F.coalesce("new", "label").alias("label"))
-    group = staged(group)
-    smallest = staged(group.groupBy("label").agg(F.min("doc_id").alias("component_id")))
-    of_node = staged(group.join(smallest, "label").select(F.col("node").alias("group_node"), "label", "component_id"))
+    group = staged(group, tasks)
+    smallest = staged(group.groupBy("label").agg(F.min("doc_id").alias("component_id")), tasks)
+    of_node = staged(group.join(smallest, "label").select(F.col("node").alias("group_node"), "label", "component_id"), tasks)
     rows = signed.select("doc_id", "row_key", "n_shingles", "node").join(of_node, F.col("node") == F.col("group_node"), "left")
     rows = rows.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "row_key", F.col("label").alias("group"))

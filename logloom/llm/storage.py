@@ -13,15 +13,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, folder: str | None = None) -> DataFrame:
-    """``df`` written once as Parquet and read again.
+def staged(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``df`` written once as Parquet and read again; by ``tasks`` tasks, where many would write little each.
 
     It cuts the lineage: a lost executor costs a task that rereads the file, not the work that made it.
     The folder comes from ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
-    path = folder or scratch_path(spark)
-    df.write.parquet(path)
+    path = scratch_path(spark)
+    (df.coalesce(tasks) if tasks else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
