@@ -209,7 +209,8 @@ def training_sample(documents: DataFrame, labels: DataFrame, most: int = MOST_DO
         part = wanted.where(F.col("label") == kind).orderBy(spread, "doc_id").limit(most)
         chosen = part if chosen is None else chosen.union(part)
     chosen = F.broadcast(staged(chosen).withColumnRenamed("doc_id", "chosen_id"))  # 2 * most rows
-    return documents.join(chosen, F.col("doc_id") == F.col("chosen_id")).select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "label")
+    texts = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return texts.join(chosen, F.col("doc_id") == F.col("chosen_id")).select("text", "label")
 
 
 def marking_units(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
