@@ -120,11 +120,14 @@ def _places(keyed: DataFrame, anchors, confirmed, window: int) -> DataFrame:
     return keyed.mapInArrow(listed, "key long, check int, row_key long, start int")
 
 
-def _located(chunk: Chunk, places: list[list[dict] | None], window: int) -> np.ndarray:
-    """Flags of the chunk's words that a recurring window covers."""
+def _located(chunk: Chunk, places: list[np.ndarray], window: int) -> np.ndarray:
+    """Flags of the chunk's words that a recurring window covers.
+
+    places: of each document, the confirmed windows as ``start << 32 | check``.
+    """
     total = len(chunk.hashes)
     covered = np.zeros(total, dtype=bool)
-    own = [(d, np.array(sorted({(p["start"], p["check"]) for p in places[d]}), dtype=np.int64)) for d in range(chunk.n_docs) if places[d]]
+    own = [(d, np.unique(places[d])) for d in range(chunk.n_docs) if len(places[d])]
     if not own:
         return covered
     distinct, codes = np.unique(chunk.hashes, return_inverse=True)
@@ -132,8 +135,8 @@ def _located(chunk: Chunk, places: list[list[dict] | None], window: int) -> np.n
     text = _as_text(codes, width)
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
     for d, found in own:
-        starts = found[:, 0] + chunk.doc_words[d]
-        starts = starts[window_keys(chunk, starts, window)[1] == found[:, 1]]
+        starts = (found >> 32) + chunk.doc_words[d]
+        starts = starts[window_keys(chunk, starts, window)[1] == found.astype(np.uint32).view(np.int32)]
         for first, last in _runs(starts):
             for start in {*range(first, last, window), last}:
                 automaton.add_word(text[width * start : width * (start + window)])
@@ -148,6 +151,12 @@ def _located(chunk: Chunk, places: list[list[dict] | None], window: int) -> np.n
     return covered
 
 
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """The lists of a column of longs; a null is an empty one."""
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.split(column.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)[:-1])
+
+
 def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
     """(first, last) of the runs of consecutive numbers."""
     if not len(starts):
@@ -186,7 +195,8 @@ def remove_recurring(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     anchors = broadcast_filter(recurring_anchors(documents, window))
     confirmed = staged(recurring_windows(keyed, anchors, window))
     found = _places(keyed, anchors, broadcast_filter(confirmed.select("key")), window)
-    places = found.join(confirmed, ["key", "check"]).groupBy("row_key").agg(F.collect_list(F.struct("start", "check")).alias("places"))
+    packed = F.expr("shiftleft(cast(start AS bigint), 32) | (cast(check AS bigint) & 4294967295)")
+    places = found.join(confirmed, ["key", "check"]).groupBy("row_key").agg(F.collect_list(packed).alias("places"))
     joined = keyed.join(places, "row_key", "left").select("doc_id", "text", "places")
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
@@ -194,7 +204,7 @@ def remove_recurring(documents: DataFrame, window: int = WINDOW) -> DataFrame:
         for batch in batches:
             for chunk in chunks(batch.column(1), NOT_WHITE, fold=False):
                 rows = batch.slice(chunk.first, chunk.n_docs)
-                covered = _located(chunk, rows.column(2).to_pylist(), window)
+                covered = _located(chunk, _lists(rows.column(2)), window)
                 spans = [[{"first": a, "last": b} for a, b in _runs(np.flatnonzero(covered[i:j]))] for i, j in zip(chunk.doc_words[:-1], chunk.doc_words[1:])]
                 gone = np.concatenate([[0], np.cumsum(covered)])[chunk.doc_words]
                 yield pa.RecordBatch.from_arrays(

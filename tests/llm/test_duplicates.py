@@ -102,7 +102,7 @@ def test_two_characters_a_word_find_the_same(documents, monkeypatch):
             n = chunk.doc_words[d + 1] - chunk.doc_words[d]
             starts = np.arange(max(0, n - 34))
             checks = phrase_dedup.window_keys(chunk, starts + chunk.doc_words[d])[1] if len(starts) else []
-            places.append([{"start": int(s), "check": int(c)} for s, c in zip(starts, checks)] if n < 200 else None)
+            places.append(np.array([int(s) << 32 | int(c) & 0xFFFFFFFF for s, c in zip(starts, checks)] if n < 200 else [], dtype=np.int64))
         covered = phrase_dedup._located(chunk, places, 35)
         assert covered.any() and len(covered) == len(chunk.hashes)
     assert expected
