@@ -66,9 +66,13 @@ def topic_digits(topic: Column) -> Column:
 
 
 def is_number_topic(topic: Column) -> Column:
-    """Hex digits with at most 64 significant ones."""
-    digits = without_prefix(topic)
-    return F.unhex(digits).isNotNull() & (F.length(F.ltrim(digits, F.lit("0"))) <= 64)
+    """Hex digits, however many."""
+    return F.unhex(without_prefix(topic)).isNotNull()
+
+
+def _is_long(topic: Column) -> Column:
+    """More than 64 significant digits: a number that no word holds."""
+    return F.length(F.ltrim(without_prefix(topic), F.lit("0"))) > 64
 
 
 def topic_address(topic: Column) -> Column:
@@ -78,9 +82,13 @@ def topic_address(topic: Column) -> Column:
 
 
 def topic_word(topic: Column) -> Column:
-    """The last 64 digits as a binary word; NULL when they are not hex."""
+    """The number as a binary word, the largest one for what no word holds; NULL when the digits are not hex.
+
+    No table column takes the largest word, and as a boolean it is true, as any longer number.
+    """
     padded = F.concat(F.lit("0" * 64), without_prefix(topic))
-    return F.unhex(F.substring(padded, -64, 64))
+    word = F.unhex(F.substring(padded, -64, 64))
+    return F.when(_is_long(topic) & is_number_topic(topic), F.lit(b"\xff" * WORD)).otherwise(word)
 
 
 def topic_text(topic: Column, kind: str) -> Column:
@@ -90,9 +98,14 @@ def topic_text(topic: Column, kind: str) -> Column:
     if kind == "bool":
         return boolean_text(topic_word(topic))
     if kind.startswith("uint"):
-        return marked_uint_text(topic_word(topic))
+        return F.when(_is_long(topic), _long_text(topic_digits(topic))).otherwise(marked_uint_text(topic_word(topic)))
     if kind.startswith("int"):
-        return signed_text(topic_word(topic), bits(kind))
+        n_digits = bits(kind) // 4
+        digits = topic_digits(topic)
+        # above 2^n for certain: v - 2^n takes one from the digits before the last n bits
+        high = _minus_one(F.substr(digits, F.lit(1), F.length(digits) - n_digits))
+        above = F.concat(high, F.substring(digits, -n_digits, n_digits))
+        return F.when(_is_long(topic), _long_text(above)).otherwise(signed_text(topic_word(topic), bits(kind)))
     if kind.startswith("bytes"):
         return F.concat(F.lit("0x"), F.substring(topic_digits(topic), 1, 2 * n_bytes(kind)))
     return F.concat(F.lit("0x"), topic_digits(topic))
@@ -241,12 +254,37 @@ def _wide_text(digits: Column) -> Column:
     return F.aggregate(sums, start, carry, lambda acc: F.ltrim(acc["text"], F.lit("0")))
 
 
+def _long_text(digits: Column) -> Column:
+    """Hex digits of any number to base 10: Horner's rule over seven digits a step, on limbs of 10^8."""
+    base, step = 10**8, 16**7
+    zero = F.lit(0).cast("bigint")
+    padded = F.lpad(digits, F.ceil(F.length(digits) / 7).cast("int") * 7, F.lit("0"))
+    starts = F.sequence(F.lit(1), F.length(padded), F.lit(7))
+    parts = F.transform(starts, lambda i: F.conv(F.substr(padded, i, F.lit(7)), 16, 10).cast("bigint"))
+
+    def divided(total: Column) -> Column:
+        return F.call_function("div", total, F.lit(base).cast("bigint"))
+
+    def carry(acc: Column, limb: Column) -> Column:
+        total = limb * step + acc["carry"]
+        return F.struct(divided(total).alias("carry"), F.concat(acc["limbs"], F.array(total % base)).alias("limbs"))
+
+    def times_plus(limbs: Column, part: Column) -> Column:
+        start = F.struct(part.alias("carry"), F.array().cast("array<bigint>").alias("limbs"))
+        # what is left to carry is below 16^7: at most two limbs
+        end = lambda acc: F.concat(acc["limbs"], F.when(acc["carry"] == 0, F.array().cast("array<bigint>")).when(acc["carry"] < base, F.array(acc["carry"])).otherwise(F.array(acc["carry"] % base, divided(acc["carry"]))))
+        return F.aggregate(limbs, start, carry, end)
+
+    limbs = F.aggregate(parts, F.array().cast("array<bigint>"), times_plus)
+    text = F.ltrim(F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 8, "0")), ""), F.lit("0"))
+    return _let(text, lambda t: F.when(t == "", F.lit("0")).otherwise(t))
+
+
 def _minus_one(digits: Column) -> Column:
     """Hex text minus one; the text holds a nonzero digit."""
     kept = F.rtrim(digits, F.lit("0"))
     last = F.translate(F.substring(kept, -1, 1), _HEX[1:], _HEX[:-1])
-    borrowed = F.rpad(F.concat(F.substr(kept, F.lit(1), F.length(kept) - 1), last), 64, "f")
-    return F.substr(borrowed, F.lit(1), F.length(digits))
+    return F.rpad(F.concat(F.substr(kept, F.lit(1), F.length(kept) - 1), last), F.length(digits), F.lit("f"))
 
 
 def _negated(digits: Column) -> Column:

@@ -83,7 +83,7 @@ def _good_data(registry: Registry) -> Column:
 def decode_logs(logs: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
     """Adds ``decode_result``: ``success``, the decoded fields as a text map, or the error and raw input.
 
-    ``def_id`` stays as a column: the definition the log was decoded with.
+    ``def_id`` and ``event`` stay as columns: the definition the log was decoded with, and its label.
     """
     checked = check_logs(logs, registry)
     ok = F.col("log_error").isNull()
@@ -99,7 +99,8 @@ def decode_logs(logs: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
         F.when(~ok, F.col("topics")).alias("raw_topics"),
         F.when(~ok, F.col("data")).alias("raw_data"),
     )
-    return values.withColumn("decode_result", result).drop("log_error", DATA, VALUES)
+    event = by_def([d.event for d in registry.definitions], "string")
+    return values.withColumn("decode_result", result).withColumn("event", event).drop("log_error", DATA, VALUES)
 
 
 def _names(registry: Registry) -> Column:
@@ -147,14 +148,10 @@ def decoded_logs(decoded: DataFrame) -> DataFrame:
 
 def dead_letters(decoded: DataFrame) -> DataFrame:
     """The logs that did not decode, with the reason and their raw input."""
-    return decoded.where(~F.col("decode_result.success")).select(
-        "block_number",
-        "block_timestamp",
-        "transaction_hash",
-        "log_index",
-        "date",
-        "address",
-        F.col("decode_result.error").alias("error"),
-        F.col("decode_result.raw_topics").alias("raw_topics"),
-        F.col("decode_result.raw_data").alias("raw_data"),
-    )
+    result = F.col("decode_result")
+    return decoded.where(~result["success"]).select(*dead_letter_columns(result["error"], result["raw_topics"], result["raw_data"]))
+
+
+def dead_letter_columns(error: Column, topics: Column, data: Column) -> list[Column]:
+    header = ["block_number", "block_timestamp", "transaction_hash", "log_index", "date", "address"]
+    return [*map(F.col, header), error.alias("error"), topics.alias("raw_topics"), data.alias("raw_data")]

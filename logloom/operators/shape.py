@@ -7,8 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..registry import DEFAULT, Registry
-from ..registry.model import by_def
 
 DEAD_LETTER = "dead_letter"
 UNSHAPED = "unshaped"
@@ -150,15 +148,13 @@ def header(protocol: Column, version: Column, contract: Column) -> list[Column]:
     ]
 
 
-def event_label(decoded: DataFrame, payload: Column, registry: Registry = DEFAULT) -> Column:
-    """The event label of decoded logs. Taken from ``def_id`` where ``decode_logs`` left it: a filter on it
-    is pushed below the decoding, while one on the payload would build the map to look at it."""
-    if "def_id" in decoded.columns:
-        return by_def([d.event for d in registry.definitions], "string")
-    return payload["_event"]
+def event_label(decoded: DataFrame, payload: Column) -> Column:
+    """The event label of decoded logs. Taken from the column that ``decode_logs`` left: a filter on it is
+    pushed below the decoding, while one on the payload would build the map to look at it."""
+    return F.col("event") if "event" in decoded.columns else payload["_event"]
 
 
-def shape(decoded: DataFrame, table: EventTable, registry: Registry = DEFAULT) -> DataFrame:
+def shape(decoded: DataFrame, table: EventTable) -> DataFrame:
     """One event table from logs that carry a ``decoded`` payload map."""
     payload = F.col("decoded")
 
@@ -166,30 +162,30 @@ def shape(decoded: DataFrame, table: EventTable, registry: Registry = DEFAULT) -
         value = F.coalesce(*[payload[key] for key in spec.keys])
         return (value if spec.sql_type == "string" else value.try_cast(spec.sql_type)).alias(spec.name)
 
-    return decoded.where(event_label(decoded, payload, registry).isin(*table.labels)).select(
+    return decoded.where(event_label(decoded, payload).isin(*table.labels)).select(
         *header(payload["_protocol"], payload["_version"], payload["_contract"]),
         *[column(spec) for spec in table.columns],
     )
 
 
-def shape_deposit(decoded: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
-    return shape(decoded, DEPOSIT, registry)
+def shape_deposit(decoded: DataFrame) -> DataFrame:
+    return shape(decoded, DEPOSIT)
 
 
-def shape_withdraw(decoded: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
-    return shape(decoded, WITHDRAW, registry)
+def shape_withdraw(decoded: DataFrame) -> DataFrame:
+    return shape(decoded, WITHDRAW)
 
 
-def shape_borrow(decoded: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
-    return shape(decoded, BORROW, registry)
+def shape_borrow(decoded: DataFrame) -> DataFrame:
+    return shape(decoded, BORROW)
 
 
-def shape_repay(decoded: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
-    return shape(decoded, REPAY, registry)
+def shape_repay(decoded: DataFrame) -> DataFrame:
+    return shape(decoded, REPAY)
 
 
-def shape_liquidation(decoded: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
-    return shape(decoded, LIQUIDATION, registry)
+def shape_liquidation(decoded: DataFrame) -> DataFrame:
+    return shape(decoded, LIQUIDATION)
 
 
 def table_of_label(label: str, tables: tuple[EventTable, ...] = TABLES) -> str:

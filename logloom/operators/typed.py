@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import words
 from ..registry import DEFAULT, EventDef, Registry
 from ..registry.model import by_def
-from .decode import DATA, check_logs
+from .decode import DATA, check_logs, dead_letter_columns
 from .shape import DEAD_LETTER, TABLES, EventTable, ShapedColumn, header, table_of_label
 
 Source = tuple[str, int, str]  # ("topic" or "data", position, type)
@@ -41,17 +41,8 @@ def table_rows(targeted: DataFrame, table: EventTable, registry: Registry = DEFA
 
 def dead_letter_rows(targeted: DataFrame) -> DataFrame:
     """The dead letters, from logs with a ``target``."""
-    return targeted.where(F.col("target") == DEAD_LETTER).select(
-        "block_number",
-        "block_timestamp",
-        "transaction_hash",
-        "log_index",
-        "date",
-        "address",
-        F.col("log_error").alias("error"),
-        F.col("topics").alias("raw_topics"),
-        F.col("data").alias("raw_data"),
-    )
+    rows = targeted.where(F.col("target") == DEAD_LETTER)
+    return rows.select(*dead_letter_columns(F.col("log_error"), F.col("topics"), F.col("data")))
 
 
 def _column(spec: ShapedColumn, table: EventTable, registry: Registry) -> Column:

@@ -1,3 +1,3 @@
-from .pipeline import run, stage_logs, target_counts
+from .pipeline import run, stage_logs, target_dates
 
-__all__ = ["run", "stage_logs", "target_counts"]
+__all__ = ["run", "stage_logs", "target_dates"]

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import date
 from functools import partial
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -19,16 +20,14 @@ from ..operators.shape import DEAD_LETTER, TABLES, EventTable
 from ..operators.typed import dead_letter_rows, table_rows, with_target
 from ..registry import DEFAULT, Registry
 from ..sources import RAW_SCHEMA, append_jdbc, read_raw_logs, write_table
+from ..sources.sinks import OVERWRITE_PARTITIONS, drop_stale_dates
 from ..sources.scratch import delete_path, new_path, shared_folder
 
 log = logging.getLogger(__name__)
 
 PARQUET_SINKS = ("parquet", "both")
 JDBC_SINKS = ("postgres", "both")
-STAGED = (
-    "block_number bigint, block_timestamp timestamp, transaction_hash string, log_index bigint, date date, "
-    f"address string, topics array<string>, data string, {DATA} binary, def_id int, log_error string, target string"
-)
+STAGED = ("block_number", "block_timestamp", "transaction_hash", "log_index", "date", "address", "topics", "data", DATA, "def_id", "log_error", "target")
 # The shaping projections are wide: above this size HotSpot would leave the fused method interpreted,
 # so Spark is told to generate one method per expression instead.
 SESSION = {"spark.sql.codegen.hugeMethodLimit": "8000"}
@@ -56,21 +55,28 @@ def run(
     the tasks it held, never a second scan of the raw logs.
 
     ``sink`` is ``parquet``, ``postgres`` or ``both``. Dead letters always go to Parquet. Event tables
-    go to the database only when ``jdbc`` holds the writer's options. Tables without rows are not
-    written. ``staging`` defaults to the session's ``spark.checkpoint.dir``, else to a hidden folder
+    go to the database only when ``jdbc`` holds the writer's options; database rows are appended, so there
+    ``overwrite_partitions`` is refused. Tables without rows are not written. ``overwrite_partitions``
+    replaces the whole range in every table: dates without rows in this run are removed once the writes
+    are done. ``staging`` defaults to the session's ``spark.checkpoint.dir``, else to a hidden folder
     under ``output``; the staging table is deleted at the end.
     """
     if start > end:
         raise ValueError(f"start date {start} is after end date {end}")
     if sink not in PARQUET_SINKS + JDBC_SINKS:
         raise ValueError(f"unknown sink {sink!r}")
+    if sink in JDBC_SINKS and jdbc and mode == OVERWRITE_PARTITIONS:
+        raise ValueError("a database is only appended to; overwrite_partitions would double its rows")
+    if sink == "postgres" and not jdbc:
+        log.warning("no jdbc options: event tables are not written anywhere")
 
     stage = new_path(staging or shared_folder(spark) or f"{output}/_staging")
     with session_conf(spark, SESSION):
         try:
             raw = read_raw_logs(spark, source, start, end, schema)
             staged = stage_logs(filter_logs(raw, registry, assume_lowercase), stage, registry, tables)
-            counts = target_counts(staged)
+            dates = target_dates(staged)
+            counts = {target: sum(days.values()) for target, days in dates.items()}
             n_dead = counts.get(DEAD_LETTER, 0)
             log.info("decoded %d logs, %d dead letters", sum(counts.values()) - n_dead, n_dead)
             jobs = [partial(write_table, dead_letter_rows(staged), output, DEAD_LETTER, mode)] if n_dead else []
@@ -80,6 +86,10 @@ def run(
                 elif sink in PARQUET_SINKS or jdbc:
                     jobs.append(partial(_write_events, staged, table, registry, output, sink, mode, jdbc))
             _run_all(spark, jobs)
+            if mode == OVERWRITE_PARTITIONS:
+                names = [DEAD_LETTER] + [t.name for t in tables if sink in PARQUET_SINKS]
+                for name in names:
+                    drop_stale_dates(spark, output, name, start, end, set(dates.get(name, {})))
             return counts
         finally:
             delete_path(spark, stage)
@@ -117,31 +127,44 @@ def stage_logs(
     """
     spark = known.sparkSession
     dead = F.col("target") == DEAD_LETTER
-    columns = {field.split()[0]: F.col(field.split()[0]) for field in STAGED.split(", ")}
+    columns = {name: F.col(name) for name in STAGED}
     # dead letters keep the payload as it came, the others as bytes: half the volume
     columns |= {"data": F.when(dead, F.col("data")), DATA: F.when(~dead, F.col(DATA))}
     targeted = with_target(known, registry, tables).select(*[c.alias(name) for name, c in columns.items()])
     if spark.conf.get("spark.sql.adaptive.enabled") == "true":
         targeted = targeted.hint("rebalance", F.col("target"), F.col("date"))
     targeted.write.partitionBy("target").parquet(path)
-    return spark.read.schema(STAGED).parquet(path)
+    return spark.read.schema(targeted.schema).parquet(path)
 
 
-def target_counts(staged: DataFrame) -> dict[str, int]:
-    """Rows per target; reads no column of the staging files but their row counts."""
-    return {row["target"]: row["n"] for row in staged.groupBy("target").agg(F.count("*").alias("n")).collect()}
+def target_dates(staged: DataFrame) -> dict[str, dict[date, int]]:
+    """Rows per target and date of the run; of the staging files only the date column is read."""
+    found: dict[str, dict[date, int]] = {}
+    for row in staged.groupBy("target", "date").agg(F.count("*").alias("n")).collect():
+        found.setdefault(row["target"], {})[row["date"]] = row["n"]
+    return found
+
+
+_users: dict[int, tuple[int, dict[str, str | None]]] = {}
+_users_lock = Lock()
 
 
 @contextmanager
 def session_conf(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key, None) for key in values}
-    for key, value in values.items():
-        spark.conf.set(key, value)
+    """Settings for the time of a run. Of runs that overlap on a session, the first saves and the last restores."""
+    key = id(spark._jsparkSession)
+    with _users_lock:
+        n, before = _users.get(key) or (0, {k: spark.conf.get(k, None) for k in values})
+        _users[key] = n + 1, before
+        for k, value in values.items():
+            spark.conf.set(k, value)
     try:
         yield
     finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
+        with _users_lock:
+            n, before = _users.pop(key)
+            if n > 1:
+                _users[key] = n - 1, before
             else:
-                spark.conf.set(key, value)
+                for k, value in before.items():
+                    spark.conf.unset(k) if value is None else spark.conf.set(k, value)

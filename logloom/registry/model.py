@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Registry tables are broadcast only up to this many rows; larger ones are left to Catalyst.
+# Registry tables are broadcast only up to this many rows; larger ones are joined by a sort-merge join.
 MAX_BROADCAST_ROWS = 200_000
 
 Field = tuple[str, str]  # (name, solidity type)
@@ -156,11 +156,12 @@ def routes(spark: SparkSession, registry: Registry) -> DataFrame:
 
 
 def _broadcast_within_bound(table: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(table) if max_rows <= MAX_BROADCAST_ROWS else table
+    # Catalyst takes the table for a tiny one, whatever its rows, so the other way must be asked for, too
+    return table.hint("broadcast" if max_rows <= MAX_BROADCAST_ROWS else "merge")
 
 
 def broadcast_routes(spark: SparkSession, registry: Registry) -> DataFrame:
-    """The route table, with the broadcast hint only while its size is within the bound."""
+    """The route table, to be broadcast only while its size is within the bound."""
     return _broadcast_within_bound(routes(spark, registry), registry.n_listed)
 
 

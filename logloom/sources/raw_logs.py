@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import dated_folders
+
 RAW_SCHEMA = (
     "block_number bigint, block_timestamp timestamp, transaction_hash string, log_index bigint, "
     "address string, topics array<string>, data string, date date"
@@ -18,10 +20,15 @@ def read_raw_logs(
 ) -> DataFrame:
     """Logs of an inclusive date range from a Parquet dataset laid out as ``date=YYYY-MM-DD``.
 
-    The range is compared with date literals, so only the range's directories are read. A range
-    that ends before it starts is empty. ``schema=None`` infers the schema from the files.
+    The root is listed once and only the range's folders are read, so a day costs its own files however
+    many days the dataset has. A range without folders is empty. ``schema=None`` infers the schema from the
+    files.
     """
     reader = spark.read.option("basePath", path)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(path).where(F.col("date").between(F.lit(start), F.lit(end)))
+    folders = dated_folders(spark, path, start, end)
+    if not folders:  # for the columns; no file of it is read
+        logs = reader.parquet(path) if schema is None else spark.createDataFrame([], schema)
+        return logs.where(F.lit(False))
+    return reader.parquet(*folders.values()).where(F.col("date").between(F.lit(start), F.lit(end)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import date
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +28,28 @@ def scratch_path(spark: SparkSession) -> str:
     return new_path(folder)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``, none if it does not exist. One listing call."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()) if fs.exists(folder) else []
+
+
+def dated_folders(spark: SparkSession, path: str, start: date, end: date) -> dict[date, str]:
+    """The ``date=YYYY-MM-DD`` folders below ``path`` of an inclusive range."""
+    found = {}
+    for name in child_names(spark, path):
+        key, _, value = name.partition("=")
+        if key == "date":
+            try:
+                day = date.fromisoformat(value)
+            except ValueError:  # the null partition, or a folder of another kind
+                continue
+            if start <= day <= end:
+                found[day] = f"{path.rstrip('/')}/{name}"
+    return found
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

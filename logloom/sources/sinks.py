@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .scratch import dated_folders, delete_path
 
 APPEND = "append"
 OVERWRITE_PARTITIONS = "overwrite_partitions"
@@ -12,7 +16,7 @@ def write_table(rows: DataFrame, output: str, name: str, mode: str = APPEND) ->
     """Writes one table as Snappy Parquet, partitioned by date, and returns its path.
 
     ``append`` adds to what is there, so running a date twice doubles its rows;
-    ``overwrite_partitions`` replaces exactly the dates present in ``rows``.
+    ``overwrite_partitions`` replaces exactly the dates present in ``rows``; see ``drop_stale_dates`` for others.
     """
     path = f"{output}/{name.lower()}"
     writer = rows.write.partitionBy("date").option("compression", "snappy")
@@ -26,6 +30,16 @@ def write_table(rows: DataFrame, output: str, name: str, mode: str = APPEND) ->
     return path
 
 
+def drop_stale_dates(spark: SparkSession, output: str, name: str, start: date, end: date, written: set[date]) -> None:
+    """Removes the partitions of a date range that hold nothing of this run.
+
+    To be called after the run's own partitions are in place, so that no reader finds a date gone too early.
+    """
+    for day, folder in dated_folders(spark, f"{output}/{name.lower()}", start, end).items():
+        if day not in written:
+            delete_path(spark, folder)
+
+
 def append_jdbc(rows: DataFrame, name: str, options: dict[str, str]) -> None:
     """Appends one table to a database through Spark's JDBC writer.
 

@@ -25,7 +25,7 @@ def topic_value(topic, kind):
         return "0x" + word[: 2 * _width(kind, "bytes", 32)]
     if kind not in ("bool",) and not kind.startswith(("uint", "int")):
         return "0x" + word
-    if not set(word) <= HEX or len(word.lstrip("0")) > 64:
+    if not set(word) <= HEX:
         raise Bad
     value = int(word, 16)
     if kind == "bool":

@@ -64,6 +64,25 @@ def test_append_doubles_and_overwrite_replaces(spark, source):
     assert rows(spark, output, "borrow") == counts["borrow"]
 
 
+def test_overwrite_leaves_no_stale_dates(spark, source):
+    """Dates and tables whose rows are gone from the source are gone from the output, within the range only."""
+    output = new_output()
+    run(spark, source, output, FIRST, LAST, mode="overwrite_partitions")
+    last_before = spark.read.parquet(f"{output}/borrow").where(F.col("date") == LAST).count()
+    path = tempfile.mkdtemp(prefix="run-") + "/raw"
+    read_raw_logs(spark, source, FIRST, FIRST).write.partitionBy("date").parquet(path)
+    counts = run(spark, path, output, FIRST, date(2024, 1, 9), mode="overwrite_partitions")
+    borrow = spark.read.parquet(f"{output}/borrow")
+    assert {r["date"] for r in borrow.select("date").distinct().collect()} == {FIRST, LAST}
+    assert borrow.count() == counts["borrow"] + last_before
+
+
+def test_one_day_reads_its_own_files(spark, source):
+    day = read_raw_logs(spark, source, FIRST, FIRST)
+    assert day.inputFiles() and all(f"date={FIRST}" in name for name in day.inputFiles())
+    assert read_raw_logs(spark, source, date(2024, 1, 30), date(2024, 3, 1)).count() == day.sparkSession.read.parquet(source).where("date >= '2024-01-30'").count()
+
+
 def test_empty_tables_are_skipped(spark, source):
     output = new_output()
     counts = run(spark, source, output, date(2030, 1, 1), date(2030, 1, 2))
@@ -90,6 +109,8 @@ def test_jdbc_gets_every_table(spark, source, monkeypatch):
 def test_arguments(spark, source):
     with pytest.raises(ValueError, match="after end"):
         run(spark, source, new_output(), LAST, FIRST)
+    with pytest.raises(ValueError, match="appended"):
+        run(spark, source, new_output(), FIRST, LAST, sink="both", mode="overwrite_partitions", jdbc={"url": "jdbc:none"})
     with pytest.raises(ValueError, match="sink"):
         run(spark, source, new_output(), FIRST, LAST, sink="tape")
 

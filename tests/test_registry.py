@@ -1,7 +1,10 @@
 from pyspark.sql import functions as F
 
 from logloom import registry as reg
+from logloom.operators.decode import route_logs
 from logloom.registry import DEFAULT, Registry, compound, define
+from logloom.registry import model
+from workload.logs import event_logs
 
 
 def test_sizes(spark):
@@ -54,3 +57,49 @@ def test_signature_arity():
 def test_routes_need_no_exchange(spark):
     plan = reg.routes(spark, DEFAULT)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def keccak256(message: bytes) -> str:
+    """The hash that event signatures are listed under, by its published definition; for the test alone."""
+    mask = (1 << 64) - 1
+    rotate = lambda v, n: ((v << n) | (v >> (64 - n))) & mask if n else v
+    constants, lfsr = [], 1
+    for _ in range(24):
+        constant = 0
+        for j in range(7):
+            if lfsr & 1:
+                constant |= 1 << ((1 << j) - 1)
+            lfsr = (lfsr << 1) ^ (0x171 if lfsr & 0x80 else 0)
+        constants.append(constant)
+    offsets, (x, y) = {(0, 0): 0}, (1, 0)
+    for t in range(24):
+        offsets[x, y] = (t + 1) * (t + 2) // 2 % 64
+        x, y = y, (2 * x + 3 * y) % 5
+    padded = message + b"\x01" + b"\0" * (-(len(message) + 1) % 136)
+    padded = padded[:-1] + bytes([padded[-1] | 0x80])
+    state = {(x, y): 0 for x in range(5) for y in range(5)}
+    for block in range(0, len(padded), 136):
+        for i in range(17):
+            state[i % 5, i // 5] ^= int.from_bytes(padded[block + 8 * i : block + 8 * i + 8], "little")
+        for constant in constants:
+            columns = [state[x, 0] ^ state[x, 1] ^ state[x, 2] ^ state[x, 3] ^ state[x, 4] for x in range(5)]
+            mixed = {(x, y): v ^ columns[(x - 1) % 5] ^ rotate(columns[(x + 1) % 5], 1) for (x, y), v in state.items()}
+            moved = {(y, (2 * x + 3 * y) % 5): rotate(v, offsets[x, y]) for (x, y), v in mixed.items()}
+            state = {(x, y): moved[x, y] ^ (~moved[(x + 1) % 5, y] & mask & moved[(x + 2) % 5, y]) for x, y in moved}
+            state[0, 0] ^= constant
+    return "0x" + b"".join(state[i, 0].to_bytes(8, "little") for i in range(4)).hex()
+
+
+def test_hashes_are_those_of_the_signatures():
+    assert keccak256(b"Transfer(address,address,uint256)") == "0xddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
+    for d in DEFAULT.definitions:
+        assert keccak256(d.signature.encode()) == d.topic0, d
+
+
+def test_large_registries_are_not_broadcast(spark, monkeypatch):
+    logs = event_logs(spark, "/root/testdata/sf0.001")
+    expected = route_logs(logs).groupBy("def_id").count().collect()
+    monkeypatch.setattr(model, "MAX_BROADCAST_ROWS", 1)
+    routed = route_logs(logs)
+    assert "BroadcastHashJoin" not in routed._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, routed.groupBy("def_id").count().collect())) == sorted(map(str, expected))

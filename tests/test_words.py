@@ -42,10 +42,10 @@ def test_signed_topics(spark, ansi, bits):
 
 
 TOPICS = ["0x" + "12" * 32, "12" * 32, "0x", "", "0x1", "0xABC", "0x" + "0" * 70 + "7", "0x" + "0" * 10 + "f" * 64,
-          "0x" + "00" * 12 + "AbCdEf" + "00" * 17, "0xzz", "0x-5", "0x" + "1" * 65]
+          "0x" + "00" * 12 + "AbCdEf" + "00" * 17, "0xzz", "0x-5", "0x" + "1" * 65, "0x" + "f" * 71, "0x1" + "0" * 64, "0x" + "9" * 200, "0xabc" + "0" * 80 + "1"]
 
 
-@pytest.mark.parametrize("kind", ["address", "bool", "uint256", "uint16", "bytes4", "bytes32", "bytes", "string"])
+@pytest.mark.parametrize("kind", ["address", "bool", "uint256", "uint16", "int256", "int8", "bytes4", "bytes32", "bytes", "string"])
 def test_topics(spark, ansi, kind):
     topic = F.col("t")
     out = spark.createDataFrame([(t,) for t in TOPICS], "t string").select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,13 +28,14 @@ from logloom.operators.shape import TABLES, EventTable
 from logloom.plans import run
 from logloom.sources import read_raw_logs
 from logloom.sources.scratch import scratch_path
-from logloom.registry import DEFAULT
+from logloom.registry import DEFAULT, Registry
 
 from . import oracle
 from .logs import event_logs, lineitem_logs
 
 RANGE = (date(2024, 1, 5), date(2024, 1, 20))
 FULL = (date(2024, 1, 1), date(2024, 1, 31))
+NEW_CONTRACT = "0x" + "22" * 20
 
 
 def _comparable(rows: DataFrame) -> DataFrame:
@@ -148,6 +150,32 @@ def pipeline_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _written(spark, output)
 
 
+def pipeline_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run over logs whose payloads are cut short, then a run over the repaired ones: what is left."""
+    output, broken = scratch_path(spark), scratch_path(spark)
+    source = _raw_dataset(spark, sf_dir)
+    logs = spark.read.parquet(source).withColumn("data", F.when(F.col("log_index") % 2 == 0, F.col("data")))
+    logs.hint("rebalance", F.col("date")).write.partitionBy("date").parquet(broken)
+    run(spark, broken, output, *FULL, mode="overwrite_partitions")
+    run(spark, source, output, *FULL, mode="overwrite_partitions")
+    return _written(spark, output)
+
+
+def pipeline_text_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of the header as text, the schema taken from the files: deposits as written."""
+    source, output = scratch_path(spark), scratch_path(spark)
+    logs = event_logs(spark, sf_dir).withColumns({c: F.col(c).cast("string") for c in ("block_number", "log_index")})
+    logs.hint("rebalance", F.col("date")).write.partitionBy("date").parquet(source)
+    run(spark, source, output, *FULL, schema=None)
+    return _comparable(spark.read.parquet(f"{output}/deposit"))
+
+
+def added_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deposits decoded with one more protocol in front of the others, shaped without naming it."""
+    extra = Registry((((NEW_CONTRACT, (replace(DEFAULT.definitions[0], version="new"),)),), *DEFAULT.protocols))
+    return _comparable(shape_deposit(decoded_logs(decode_logs(filter_logs(event_logs(spark, sf_dir), extra), extra))))
+
+
 def route_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reachable route with the number of known logs that take it."""
     listing = reg.route_listing(spark, DEFAULT).drop("signature")
@@ -195,7 +223,8 @@ def word_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         words.finish_text(text(negative, "int256")).alias("as_int256"),
         words.finish_text(text(_topic("k % 256", 2), "int8")).alias("as_int8"),
         text(leading, "bytes4").alias("as_bytes4"),
-        text(_topic("k", 1 << 6), "other").alias("as_other"),
+        words.finish_text(text(F.expr("concat('0x', lpad(hex(k + 1), 16, '0'), repeat('0', 64))"), "uint256")).alias("as_long"),
+        text(_topic("k"), "other").alias("as_other"),
     )
 
 
@@ -251,6 +280,9 @@ QUERIES = {
     "event_counts": counts,
     "pipeline_roundtrip": pipeline_roundtrip,
     "pipeline_rerun": pipeline_rerun,
+    "pipeline_repair": pipeline_repair,
+    "pipeline_text_types": pipeline_text_types,
+    "added_protocol": added_protocol,
     "deposit_totals": deposit_totals,
 }
 _NAMES = {"deposit": "deposits", "withdraw": "withdrawals", "borrow": "borrows", "repay": "repays", "liquidationcall": "liquidations"}
@@ -275,6 +307,9 @@ def oracle_queries() -> dict[str, str]:
         "event_counts": oracle.event_counts(),
         "pipeline_roundtrip": written,
         "pipeline_rerun": written,
+        "pipeline_repair": written,
+        "pipeline_text_types": oracle.shaped("deposit"),
+        "added_protocol": oracle.shaped("deposit"),
         "deposit_totals": oracle.deposit_totals(),
     }
     for table, name in _NAMES.items():
