@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -45,6 +45,7 @@ LEAST_LOG_ODDS, LEAST_MARK = 1.5, 2.5
 RIDGE = 1.0
 #: Units remembered by a worker, with their scores.
 CACHE_UNITS = 300_000
+UNITS_AT_ONCE = 100_000
 BEST = 4
 LONGEST_UNIT = 40
 
@@ -168,6 +169,18 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(np.hstack([rows, np.ones((len(rows), 1))]) @ self.logistic, -30, 30)))
 
 
+    def scores(self, texts: Iterable[str]) -> np.ndarray:
+        """Of each text; units are looked up together for about ``UNITS_AT_ONCE`` of them."""
+        scores, units, held = [np.empty(0)], [], 0
+        for text in texts:
+            units.append(list(set(units_of(text))))
+            held += len(units[-1])
+            if held > UNITS_AT_ONCE:
+                scores.append(self.score(self.evidence(units)))
+                units, held = [], 0
+        return np.concatenate([*scores, self.score(self.evidence(units))])
+
+
 def _support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
     """Weights and bias of the linear machine with a squared hinge, by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -304,15 +317,8 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores, units, held = [], [], 0
-            for text in batch.column(1):
-                units.append(list(set(units_of(text.as_py() or ""))))
-                held += len(units[-1])
-                if held > 100_000:
-                    scores.append(model.value.score(model.value.evidence(units)))
-                    units, held = [], 0
-            scores.append(model.value.score(model.value.evidence(units)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores))], names=["doc_id", "score"])
+            scores = model.value.scores(text.as_py() or "" for text in batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
 
     return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(scored, f"doc_id {id_type}, score double")
 
@@ -324,8 +330,7 @@ def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        found = [model.value.score(model.value.evidence([list(set(units_of(text or "")))]))[0] for text in texts]
-        return pd.Series(found, dtype=float)
+        return pd.Series(model.value.scores(text or "" for text in texts))
 
     rows = documents.select(row, F.col("text").cast("string").alias("text"))
     return rows.where(score("text") < threshold).select("row.*")
