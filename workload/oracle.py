@@ -202,30 +202,50 @@ def decode_status() -> str:
         FROM l WHERE known GROUP BY 1, 2"""
 
 
+def _word(formula: str, j: int) -> str:
+    """64 hex digits of word j."""
+    narrow = {
+        "address": f"k * 31 + {j}",
+        "bytes32": f"k * 17 + {j}",
+        "uint16": f"(k + {j}) % 65536",
+        "mode": "k % 2 + 1",
+        "timestamp": "1577836800 + k",
+        "bool": f"(k + {j}) % 2",
+    }
+    if formula in narrow:
+        return f"lpad(lower(to_hex({narrow[formula]})), 64, '0')"
+    high, low = f"(k * 7 + {j}) % 1000003", f"(k * 2654435761 + {j} * 97) % 4294967291"
+    return f"lpad(lower(to_hex({high})), 48, '0') || lpad(lower(to_hex({low})), 16, '0')"
+
+
+def _per_definition(text) -> str:
+    """A CASE over the reachable definitions; ``text`` gives the expression of one."""
+    defs = dict.fromkeys(d for _, reached in FAMILIES for d in reached)
+    whens = [f"WHEN protocol = '{d.protocol}' AND version = '{d.version}' AND event = '{d.event}' THEN {text(d)}" for d in defs]
+    return f"CASE {' '.join(whens)} END"
+
+
 def dead_letter() -> str:
-    """raw_data of the long payloads is compared by its length, the special ones by their text too."""
-    n_topics = _rows([(d.protocol, d.version, d.event, len(d.topic_fields)) for _, defs in FAMILIES for d in defs])
-    n_words = _rows([(d.protocol, d.version, d.event, len(d.data_fields)) for _, defs in FAMILIES for d in defs])
-    word = "lpad(lower(to_hex(k * 31 + 10)), 64, '0')"
-    wide = [f"lpad(lower(to_hex((k * 7 + {j}) % 1000003)), 48, '0') || lpad(lower(to_hex((k * 2654435761 + {j} * 97) % 4294967291)), 16, '0')" for j in (11, 12)]
-    full = f"'0x' || {word} || {wide[0]} || {wide[1]}"
-    data = f"""CASE sp WHEN 0 THEN left({full}, 130) WHEN 1 THEN left({full}, 193) WHEN 2 THEN '0xzz' || substr({full}, 5)
-        WHEN 3 THEN NULL WHEN 4 THEN '' WHEN 12 THEN '0xff' || substr({full}, 5) END"""
+    """Every word of topics and payload by its formula, then the faults of the special logs."""
+
+    def topics(d) -> str:
+        words = [f"'0x' || {_word(_formula(*field), j)}" for j, field in enumerate(d.topic_fields, 1)]
+        if (d.protocol, d.version, d.event) == ("aave", "v2", "Borrow"):
+            words[2] = f"CASE WHEN sp = 13 THEN '0xzz' ELSE {words[2]} END"
+        return "concat_ws(',', first_topic" + "".join(f", {w}" for w in words) + ")"
+
+    def payload(d) -> str:
+        return " || ".join(["'0x'"] + [_word(_formula(*field), j) for j, field in enumerate(d.data_fields, 10)])
+
     foreign = f"CASE WHEN contract = '{MORPHO}' THEN '{MINT}' ELSE '{MORPHO_SUPPLY}' END"
     return f"""{base()},
-        sizes(protocol, version, event, n_topics) AS (SELECT DISTINCT * FROM (VALUES {n_topics}) t),
-        lengths(protocol, version, event, n_words) AS (SELECT DISTINCT * FROM (VALUES {n_words}) t),
-        d AS (SELECT *, {data} AS special_data, {foreign} AS foreign_topic0 FROM l
-              JOIN sizes USING (protocol, version, event) JOIN lengths USING (protocol, version, event)
-              WHERE known AND NOT ok)
+        t AS (SELECT *, CASE WHEN kind = 18 THEN {foreign} ELSE topic0 END AS first_topic FROM l WHERE known AND NOT ok),
+        d AS (SELECT *, {_per_definition(topics)} AS topics, {_per_definition(payload)} AS body FROM t)
         SELECT block_number, ts AS block_timestamp, transaction_hash, CAST(log_index AS BIGINT) AS log_index, date,
-        contract AS address, CASE WHEN sp = 13 THEN '{BAD_TOPIC}' ELSE '{GENERIC}' END AS error,
-        CASE WHEN kind = 18 THEN foreign_topic0 ELSE topic0 END AS first_topic,
-        CAST(1 + n_topics AS INTEGER) AS n_topics,
-        CASE WHEN sp = 13 THEN '0xzz' END AS bad_topic,
-        CASE WHEN sp BETWEEN 0 AND 12 THEN special_data END AS special_data,
-        CAST(CASE WHEN sp BETWEEN 0 AND 12 THEN length(special_data) ELSE 2 + 64 * n_words END AS INTEGER) AS data_length
-        FROM d"""
+        contract AS address, CASE WHEN sp = 13 THEN '{BAD_TOPIC}' ELSE '{GENERIC}' END AS error, topics,
+        CASE sp WHEN 0 THEN left(body, length(body) - 64) WHEN 1 THEN left(body, length(body) - 1)
+        WHEN 2 THEN '0xzz' || substr(body, 5) WHEN 3 THEN NULL WHEN 4 THEN '' WHEN 12 THEN '0xff' || substr(body, 5)
+        ELSE body END AS raw_data FROM d"""
 
 
 def _field_text(formula: str, j: str) -> str:

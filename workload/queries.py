@@ -34,7 +34,6 @@ from . import oracle
 from .logs import event_logs, lineitem_logs
 
 RANGE = (date(2024, 1, 5), date(2024, 1, 20))
-FULL = (date(2024, 1, 1), date(2024, 1, 31))
 NEW_CONTRACT = "0x" + "22" * 20
 
 
@@ -78,26 +77,8 @@ def decode_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _letter_view(letters: DataFrame) -> DataFrame:
-    """Dead letters without array columns: the topics and the payload by their telling parts."""
-    special = (F.col("k") % 20 == 19) & ((F.floor(F.col("k") / 20) % 14) <= 12)
-    return (
-        _comparable(letters)
-        .withColumn("k", F.col("block_number") - 18_000_000)
-        .select(
-            "block_number",
-            "block_timestamp",
-            "transaction_hash",
-            "log_index",
-            "date",
-            "address",
-            "error",
-            F.get("raw_topics", F.lit(0)).alias("first_topic"),
-            F.size("raw_topics").alias("n_topics"),
-            F.when(F.get("raw_topics", F.lit(3)) == "0xzz", F.get("raw_topics", F.lit(3))).alias("bad_topic"),
-            F.when(special, F.col("raw_data")).alias("special_data"),
-            F.length("raw_data").alias("data_length"),
-        )
-    )
+    """Dead letters without array columns: the topics as one text."""
+    return _comparable(letters).withColumn("topics", F.array_join("raw_topics", ",")).drop("raw_topics")
 
 
 def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,17 +117,37 @@ def _written(spark: SparkSession, output: str) -> DataFrame:
     return merged.groupBy("date", "table").agg(F.count("*").alias("n"))
 
 
+def _full_range(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    days = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    return days[0], days[1]
+
+
+def pipeline_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Liquidations as they come back from staging and Parquet."""
+    source, output = _raw_dataset(spark, sf_dir), scratch_path(spark)
+    run(spark, source, output, *_full_range(spark, sf_dir))
+    return _comparable(spark.read.parquet(f"{output}/liquidationcall"))
+
+
+def pipeline_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters as they come back from staging and Parquet."""
+    source, output = _raw_dataset(spark, sf_dir), scratch_path(spark)
+    run(spark, source, output, *_full_range(spark, sf_dir))
+    return _letter_view(spark.read.parquet(f"{output}/dead_letter"))
+
+
 def pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, output = _raw_dataset(spark, sf_dir), scratch_path(spark)
-    run(spark, source, output, *FULL)
+    run(spark, source, output, *_full_range(spark, sf_dir))
     return _written(spark, output)
 
 
 def pipeline_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The range in two runs, then part of it again: replaced days keep their rows once."""
     source, output = _raw_dataset(spark, sf_dir), scratch_path(spark)
-    run(spark, source, output, FULL[0], RANGE[1], mode="overwrite_partitions")
-    run(spark, source, output, RANGE[0], FULL[1], mode="overwrite_partitions", assume_lowercase=False)
+    first, last = _full_range(spark, sf_dir)
+    run(spark, source, output, first, RANGE[1], mode="overwrite_partitions")
+    run(spark, source, output, RANGE[0], last, mode="overwrite_partitions", assume_lowercase=False)
     return _written(spark, output)
 
 
@@ -156,8 +157,9 @@ def pipeline_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _raw_dataset(spark, sf_dir)
     logs = spark.read.parquet(source).withColumn("data", F.when(F.col("log_index") % 2 == 0, F.col("data")))
     logs.hint("rebalance", F.col("date")).write.partitionBy("date").parquet(broken)
-    run(spark, broken, output, *FULL, mode="overwrite_partitions")
-    run(spark, source, output, *FULL, mode="overwrite_partitions")
+    days = _full_range(spark, sf_dir)
+    run(spark, broken, output, *days, mode="overwrite_partitions")
+    run(spark, source, output, *days, mode="overwrite_partitions")
     return _written(spark, output)
 
 
@@ -166,7 +168,7 @@ def pipeline_text_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, output = scratch_path(spark), scratch_path(spark)
     logs = event_logs(spark, sf_dir).withColumns({c: F.col(c).cast("string") for c in ("block_number", "log_index")})
     logs.hint("rebalance", F.col("date")).write.partitionBy("date").parquet(source)
-    run(spark, source, output, *FULL, schema=None)
+    run(spark, source, output, *_full_range(spark, sf_dir), schema=None)
     return _comparable(spark.read.parquet(f"{output}/deposit"))
 
 
@@ -281,6 +283,8 @@ QUERIES = {
     "pipeline_roundtrip": pipeline_roundtrip,
     "pipeline_rerun": pipeline_rerun,
     "pipeline_repair": pipeline_repair,
+    "pipeline_values": pipeline_values,
+    "pipeline_letters": pipeline_letters,
     "pipeline_text_types": pipeline_text_types,
     "added_protocol": added_protocol,
     "deposit_totals": deposit_totals,
@@ -308,6 +312,8 @@ def oracle_queries() -> dict[str, str]:
         "pipeline_roundtrip": written,
         "pipeline_rerun": written,
         "pipeline_repair": written,
+        "pipeline_values": oracle.shaped("liquidationcall"),
+        "pipeline_letters": oracle.dead_letter(),
         "pipeline_text_types": oracle.shaped("deposit"),
         "added_protocol": oracle.shaped("deposit"),
         "deposit_totals": oracle.deposit_totals(),
