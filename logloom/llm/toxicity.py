@@ -102,27 +102,42 @@ def _subsequences(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return codes, rows, weights / norm[rows]
 
 
-def features(units: list[str], landmark_weights: np.ndarray) -> np.ndarray:
-    """Kernel values of the units (rows) with landmarks given as weights per subsequence (columns)."""
+@dataclass
+class LandmarkTable:
+    """Normalised subsequence weights of the landmarks, a column each, for the subsequences they have."""
+
+    row_of: np.ndarray  #: by subsequence code; row 0 is zero
+    rows: np.ndarray
+
+    def folded(self, combination: np.ndarray) -> np.ndarray:
+        """One weight per subsequence for a linear combination of landmarks."""
+        return (self.rows @ combination).astype(np.float32)[self.row_of]
+
+
+def landmark_table(landmarks: list[str]) -> LandmarkTable:
+    codes, columns, weights = _subsequences(landmarks)
+    own, places = np.unique(codes, return_inverse=True)
+    row_of = np.zeros(_CLASSES**3, dtype=np.int32)
+    row_of[own] = np.arange(1, len(own) + 1)
+    rows = np.zeros((len(own) + 1, len(landmarks)))
+    np.add.at(rows, (places + 1, columns), weights)
+    return LandmarkTable(row_of, rows)
+
+
+def features(units: list[str], table: LandmarkTable) -> np.ndarray:
+    """Kernel values of the units (rows) with the landmarks (columns)."""
     codes, rows, weights = _subsequences(units)
-    out = np.zeros((len(units), landmark_weights.shape[1]))
+    out = np.zeros((len(units), table.rows.shape[1]))
     order = np.argsort(rows, kind="stable")
     codes, rows, weights = codes[order], rows[order], weights[order]
     starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else []
-    for k in range(0, len(starts), 2048):
-        part = slice(starts[k], starts[k + 2048] if k + 2048 < len(starts) else len(rows))
-        out[rows[starts[k : k + 2048]]] = np.add.reduceat(landmark_weights[codes[part]] * weights[part, None], starts[k : k + 2048] - starts[k], axis=0)
+    for k in range(0, len(starts), 128):
+        part = slice(starts[k], starts[k + 128] if k + 128 < len(starts) else len(rows))
+        own = table.rows[table.row_of[codes[part]]] * weights[part, None]
+        out[rows[starts[k : k + 128]]] = np.add.reduceat(own, starts[k : k + 128] - starts[k], axis=0)
     return out
 
 
-def landmark_table(landmarks: list[str]) -> np.ndarray:
-    """Normalised subsequence weights of the landmarks, a column each."""
-    codes, rows, weights = _subsequences(landmarks)
-    table = np.zeros((_CLASSES**3, len(landmarks)), dtype=np.float32)
-    np.add.at(table, (codes, rows), weights)
-    return table
-
-
 @dataclass
 class ToxicityModel:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(_CLASSES**3, dtype=np.float32))  #: per subsequence
@@ -293,7 +308,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     for kind in (-1, 1):
         weight[y == kind] /= weight[y == kind].sum()
     w = _support_vectors(features(units, table) @ root, y, weight)
-    model = ToxicityModel((table @ (root @ w[:-1]).astype(np.float32)).astype(np.float32), float(w[-1]))
+    model = ToxicityModel(table.folded(root @ w[:-1]), float(w[-1]))
     model.logistic = _fit_logistic(sample, model)
     return model
 
