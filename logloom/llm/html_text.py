@@ -3,7 +3,9 @@
 Markup is stripped to lines: a block element ends a line, and a line that holds no main text leaves an empty line
 behind. A line's length is its text outside links; lines inside scripts, styles, menus, headers,
 footers, sidebars, notices, adverts, forms and comments have length 0, and so have lines outside ``article`` or
-``main`` where a page has one. The lengths are summed over a sliding window of lines. A region begins where the sum
+``main`` where a page has one. A block element is judged by its name, its role or a whole class or id name, an inline one
+never; one that wraps the page's article or most of its text is no advert, whatever its names say. End tags that HTML lets
+a page omit are put in. The lengths are summed over a sliding window of lines. A region begins where the sum
 surges over a threshold and ends where it dives to nothing; the lines with text in the regions are the main text. If
 no sum reaches the threshold, the region of the largest sum is taken, so that a short article is not lost.
 
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,22 +32,48 @@ SURGE = 86
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "xmp", "noframes"}
+_VALUE = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+#: Elements whose content is no markup and never shown.
+_RAW = {"script", "style", "textarea", "title", "template", "iframe"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _INLINE = {
-    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby",
-    "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "math", "q", "rp", "rt", "ruby",
+    "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "svg", "time", "tt", "u", "var", "wbr",
 }
 #: Elements without main text. A header or footer inside the article is no exception.
-_ASIDE = {"head", "nav", "header", "footer", "aside", "form", "button", "select", "menu", "dialog", "fieldset", "figcaption"}
+_ASIDE = {"head", "nav", "header", "footer", "aside", "button", "select", "menu", "dialog"}
+#: The same, but some pages are one form.
+_FORMS = {"form", "fieldset"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar", "form"}
-#: Words of class and id names that mark what is not main text.
-_NAMES = {
-    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "comment", "comments", "disqus", "reply", "replies",
-    "sidebar", "aside", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "header", "masthead", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "popup", "modal",
-    "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended", "widget", "pagination", "pager", "toolbar", "copyright", "disclaimer",
+_COMMENT = {"comment", "comment-body", "reply"}
+#: Whole class and id names of what may be longer than the main text.
+_LONG = _COMMENT | {
+    "comments", "comment-list", "comment-section", "comments-section", "comments-area", "disqus", "disqus-thread", "replies", "cookie", "cookies", "cookie-notice", "cookie-banner", "cookie-bar",
+    "cookie-consent", "consent", "consent-banner", "gdpr",
 }
-_IMPLIED_END = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: Whole class and id names that mark what is not main text; ``_`` counts as ``-``.
+_NAMES = _LONG | {
+    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "ad-banner", "ad-container", "ad-slot", "ad-unit", "adsbygoogle", "sponsor", "sponsored", "promo", "promotion", "banner",
+    "sidebar", "side-bar", "left-sidebar", "right-sidebar", "aside", "nav", "navbar", "navigation", "main-nav", "site-nav", "menu", "main-menu", "nav-menu", "breadcrumb", "breadcrumbs", "footer", "site-footer",
+    "page-footer", "header", "site-header", "masthead", "notice", "notices", "popup", "modal", "overlay", "newsletter", "newsletter-signup", "subscribe", "subscription", "signup", "login", "login-form",
+    "search-form", "comment-form", "share", "sharing", "share-buttons", "social", "social-links", "social-share", "related", "related-posts", "related-articles", "recommended", "widget", "pagination", "pager",
+    "toolbar", "copyright", "disclaimer",
+}
+#: Elements that end an open p.
+_ENDS_P = {
+    "address", "article", "aside", "blockquote", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header",
+    "hgroup", "hr", "li", "listing", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul", "xmp",
+}
+_SCOPE = {"button", "caption", "object", "table", "td", "th"}
+#: The elements of which another ends the nearest, and those beyond which it does not look.
+_IMPLIED_END = {
+    "li": ({"li"}, {"ul", "ol", "menu", "dir", *_SCOPE}), "dt": ({"dt", "dd"}, {"dl", *_SCOPE}), "dd": ({"dt", "dd"}, {"dl", *_SCOPE}), "option": ({"option"}, {"select"}), "td": ({"td", "th"}, {"table", "tr"}),
+    "th": ({"td", "th"}, {"table", "tr"}), "tr": ({"tr"}, {"table"}), "thead": ({"thead", "tbody", "tfoot"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}),
+}
+#: What a head may hold besides the elements of ``_RAW``; others end it.
+_HEAD = {"head", "base", "link", "meta", "noscript"}
+#: Elements that hold a paragraph at most, and so are never a wrapper.
+_SMALL = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "dt"}
 
 
 @dataclass
@@ -54,41 +83,99 @@ class Line:
     in_article: bool
 
 
-def _is_aside(name: str, attributes: str) -> bool:
+@dataclass
+class Element:
+    """``kind``: "aside" without main text, "maybe" or "long" by its names alone. Lengths are of text outside links and asides."""
+
+    name: str
+    parent: int
+    kind: str
+    is_article: bool
+    total: int = 0
+    own: int = 0  # without that of articles in it
+    held: int = -1  # most ``own`` of the articles in it, itself included
+
+
+def _kind(name: str, attributes: str) -> str:
     if name in _ASIDE:
-        return True
-    if not attributes or name in ("html", "body", "article", "main"):
-        return bool(re.search(r"\bcomment", attributes)) if name == "article" else False
+        return "aside"
+    kind = "maybe" if name in _FORMS else ""
+    if not attributes or name in ("html", "body", "main"):
+        return kind
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), next((v for v in values if v), "").lower()
-        if key in ("class", "id") and not _NAMES.isdisjoint(re.findall(r"[a-z]+", value)):
-            return True
-        if key == "role" and value in _ROLES or key == "aria-hidden" and value == "true":
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attributes))
+        if key in ("class", "id"):
+            names = value.replace("_", "-").split()
+            if name == "article":
+                kind = kind if _COMMENT.isdisjoint(names) else "aside"
+            elif not _NAMES.isdisjoint(names):
+                kind = "maybe" if kind != "long" and _LONG.isdisjoint(names) else "long"
+        elif name != "article" and (key == "role" and value in _ROLES or key == "aria-hidden" and value == "true"):
+            kind = kind or "maybe"
+    if name != "article" and re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", _VALUE.sub("= ", attributes)):
+        kind = kind or "maybe"
+    return kind
+
+
+def _places(elements: list[Element]) -> list[tuple[bool, bool]]:
+    """Of each element, whether it is set aside, and whether it is in an article.
+
+    What only names or a form mark stays where it wraps an article that is not small beside the page's longest, or most of the
+    page's text. Comments and consents may hold most of it: they stay only if less than a surge is left without them.
+    """
+    for element in reversed(elements[1:]):
+        if element.is_article:
+            element.held = max(element.held, element.own)
+        if element.kind != "aside":
+            above = elements[element.parent]
+            above.total += element.total
+            above.held = max(above.held, element.held)
+            above.own += 0 if element.is_article else element.own
+    page = elements[0]
+    places = [(False, False)]
+    for element in elements[1:]:
+        aside, in_article = places[element.parent]
+        if element.kind and not aside:
+            most = 2 * element.total > page.total and element.total >= SURGE and (element.kind != "long" or page.total - element.total < SURGE)
+            wraps = element.held >= 0 and 2 * element.held >= page.held or most
+            aside = element.kind == "aside" or element.name in _SMALL or not wraps
+        places.append((aside, in_article or element.is_article))
+    return places
 
 
 def lines_of(page: str) -> list[Line]:
     """The page's lines in order, empty ones in place of those that hold no main text."""
-    lines: list[Line] = []
-    stack: list[tuple[str, bool]] = []  # open elements that are not inline, and whether each is set aside
+    found: list[tuple[str, int, int]] = []  # text, length, element
+    elements = [Element("", 0, "", False)]
+    stack: list[int] = []  # open elements that are not inline
+    opened: Counter[str] = Counter()
     parts: list[str] = []
-    aside = articles = links = text_length = 0
+    links = text_length = 0
+    foreign = ""  # svg or math, while open
 
     def end_line() -> None:
         nonlocal text_length
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            lines.append(Line("", 0, articles > 0) if aside else Line(text, text_length, articles > 0))
+            at = stack[-1] if stack else 0
+            found.append((text, text_length, at))
+            elements[at].total += text_length
+            elements[at].own += text_length
         parts.clear()
         text_length = 0
 
-    def close(upto: int) -> None:
-        nonlocal aside, articles
-        while len(stack) > upto:
-            name, was_aside = stack.pop()
-            aside -= was_aside
-            articles -= name in ("article", "main")
+    def close(names: set[str], within: set[str] = frozenset()) -> None:
+        """The nearest open element of the names, and what is open in it."""
+        if not any(opened[name] for name in names):
+            return
+        for k in range(len(stack) - 1, -1, -1):
+            name = elements[stack[k]].name
+            if name in names:
+                opened.subtract(elements[at].name for at in stack[k:])
+                del stack[k:]
+                return
+            if name in within:
+                return
 
     at = 0
     while at < len(page):
@@ -105,37 +192,43 @@ def lines_of(page: str) -> list[Line]:
         if not name:
             continue
         closing, attributes = bool(token[1]), token[3] or ""
-        if name in _RAW:
+        if opened["head"] and not closing and name not in _HEAD and name not in _RAW:
             end_line()
+            close({"head"})
+        if name in _RAW:
+            if not foreign:
+                end_line()
             if not closing and not attributes.rstrip().endswith("/"):
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
+        elif name in ("svg", "math"):
+            foreign = "" if closing or attributes.rstrip().endswith("/") else name
+        elif foreign and name not in _ENDS_P:
+            if foreign == "svg":
+                parts.append(" ")
         elif name == "a":
             links = max(0, links + (-1 if closing else 1))
         elif name == "br":
             parts.append(" ")
-        elif name in _INLINE:
-            if not closing and name not in _VOID and attributes and _is_aside(name, attributes):
-                end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = end.end() if end else at
-        else:
+        elif name not in _INLINE:
+            foreign = ""
             end_line()
             links = 0
-            if name in _VOID:
-                continue
             if closing:
-                found = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-                if found is not None:
-                    close(found)
-            else:
-                if stack and stack[-1][0] in _IMPLIED_END.get(name, ()):
-                    close(len(stack) - 1)
-                is_aside = _is_aside(name, attributes)
-                stack.append((name, is_aside))
-                aside += is_aside
-                articles += name in ("article", "main")
+                close({name})
+                continue
+            if name in _ENDS_P:
+                close({"p"}, _SCOPE)
+            if name in _IMPLIED_END:
+                close(*_IMPLIED_END[name])
+            if name not in _VOID:
+                kind = _kind(name, attributes)
+                elements.append(Element(name, stack[-1] if stack else 0, kind, name in ("article", "main") and not kind))
+                stack.append(len(elements) - 1)
+                opened[name] += 1
     end_line()
-    return lines
+    places = _places(elements)
+    return [Line("", 0, places[at][1]) if places[at][0] else Line(text, length, places[at][1]) for text, length, at in found]
 
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:

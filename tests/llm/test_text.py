@@ -122,6 +122,30 @@ def test_main_text(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+STORY = "The story goes on for a while here. " * 6
+NOT_ASIDE = [
+    ('<div class="content has-sidebar"><article><p>Story</article></div>', "Story"),
+    ('<article><pre>x = 1 <span class="hljs-comment"># note</span></pre><span class="comment">y</span></article>', "x = 1 # note\n\ny"),
+    ('<article><div class="post-header">A</div><div class="related-work">B</div><div class="widget-area">C</div></article>', "A\n\nB\n\nC"),
+    ('<div class="widget"><article><p>Story</article></div>', "Story"),
+    (f'<div class="header"><p>{STORY}</div><div class="ad">buy</div>', STORY.strip()),
+    (f'<form id="page"><p>{STORY}</form>', STORY.strip()),
+    (f'<p>{STORY}<div class="comments"><p>{STORY}<p>{STORY}</div>', STORY.strip()),
+    (f'<p class="notice">Cookies<div>{STORY}</div>', STORY.strip()),
+    ("<head><title>t</title><body><p>Story", "Story"),
+    ('<article><table><tr><td class="ad">buy<div>now<td>Story</table></article>', "Story"),
+    ("<article><figure><figcaption>Figure 1</figcaption></figure><svg><text>a</text><text>b</text></svg> c<noscript>d</noscript><p>so <math><mi>x</mi><mo>=</mo></math>y</article>",
+     "Figure 1\n\na b c\n\nd\n\nso x=y"),
+    ('<article class="post comments-open"><p>Story</article>', "Story"),
+    (f'<main><p>{STORY}</p></main><div class="related"><article>teaser</article></div>', STORY.strip()),
+]
+
+
+@pytest.mark.parametrize("page,expected", NOT_ASIDE)
+def test_what_is_set_aside(page, expected):
+    assert html_text.main_text(page) == expected
+
+
 def test_long_page_takes_linear_time():
     page = "<div>" * 2_000 + "<p>word word word</p>" * 40_000
     assert html_text.main_text(page).count("word") == 120_000
