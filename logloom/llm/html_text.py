@@ -1,13 +1,15 @@
 """Main text of web pages by the distribution of text over line blocks.
 
-Markup is stripped to lines: a block element ends a line, and a line that holds no main text leaves an empty line
-behind. A line's length is its text outside links; lines inside scripts, styles, menus, headers,
-footers, sidebars, notices, adverts, forms and comments have length 0, and so have lines outside ``article`` or
-``main`` where a page has one. A block element is judged by its name, its role or a whole class or id name, an inline one
-never; one that wraps the page's article or most of its text is no advert, whatever its names say. End tags that HTML lets
-a page omit are put in. The lengths are summed over a sliding window of lines. A region begins where the sum
-surges over a threshold and ends where it dives to nothing; the lines with text in the regions are the main text. If
-no sum reaches the threshold, the region of the largest sum is taken, so that a short article is not lost.
+Markup is stripped to lines: a block element ends a line. Scripts, styles, menus, headers, footers, sidebars, notices,
+adverts, forms and comments give no lines. A block element is judged by its name, its role or a whole class or id name, an
+inline one never; one that wraps the page's article or most of its text is no advert, whatever its names say. End tags that
+HTML lets a page omit are put in.
+
+Where ``article`` and ``main`` hold at least half of the page's text outside links, all their lines are the main text and
+no threshold is used. Else a line's length is its text outside links, whatever element it is in. The lengths are summed over
+a sliding window of lines. A region begins with the first window that reaches a line with text outside links, and ends where
+more than ``dive`` lines have none. The regions whose sum surges over a threshold are the main text. If no sum reaches the
+threshold, the region of the largest sum is taken, so that a short page is not lost.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by an empty line.
 Null, empty and markup-only pages give the empty text. Equal rows are extracted each on their own; an empty table
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 #: Lines a window sums over, and the characters at which the sum is a surge.
 WINDOW = 3
 SURGE = 86
+#: Lines of links alone that a region may hold in a row.
+DIVE = 6
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -144,7 +148,7 @@ def _places(elements: list[Element]) -> list[tuple[bool, bool]]:
 
 
 def lines_of(page: str) -> list[Line]:
-    """The page's lines in order, empty ones in place of those that hold no main text."""
+    """The page's lines in order, empty ones in place of those that are set aside."""
     found: list[tuple[str, int, int]] = []  # text, length, element
     elements = [Element("", 0, "", False)]
     stack: list[int] = []  # open elements that are not inline
@@ -231,27 +235,23 @@ def lines_of(page: str) -> list[Line]:
     return [Line("", 0, places[at][1]) if places[at][0] else Line(text, length, places[at][1]) for text, length, at in found]
 
 
-def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
-    """The text between the surge and dive points of the page's line lengths."""
-    lines = lines_of(page or "")
-    if any(line.in_article and line.text for line in lines):
-        lines = [line if line.in_article else Line("", 0, False) for line in lines]
-        surge = 1  # the page names its article: whatever has text there belongs to it
+def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE, dive: int = DIVE) -> str:
+    """The text of the page's articles, or that between the surge and dive points of the line lengths."""
+    lines = [line for line in lines_of(page or "") if line.text]
+    inside = [line for line in lines if line.in_article]
+    if inside and 2 * sum(line.length for line in inside) >= sum(line.length for line in lines):
+        return "\n\n".join(line.text for line in inside)
     lengths = [line.length for line in lines]
     sums = [sum(lengths[i : i + window]) for i in range(len(lengths))]
-    regions, first = [], None
-    for i, total in enumerate(sums):
-        if first is None and total > 0:
-            first = i
-        elif first is not None and total == 0:
-            regions.append((first, i))
-            first = None
-    if first is not None:
-        regions.append((first, len(sums)))
-    most = max(sums, default=0)
-    least = min(surge, most)
-    kept = [i for first, last in regions if max(sums[first:last]) >= max(least, 1) for i in range(first, last)]
-    return "\n\n".join(lines[i].text for i in kept if lines[i].text)
+    regions: list[list[int]] = []
+    for i, length in enumerate(lengths):
+        if length and regions and i - regions[-1][1] <= dive:
+            regions[-1][1] = i + 1
+        elif length:
+            regions.append([max(0, i - window + 1), i + 1])
+    least = min(surge, max(sums, default=0))
+    kept = [i for first, last in regions if max(sums[first:last]) >= least for i in range(first, last)]
+    return "\n\n".join(lines[i].text for i in kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:

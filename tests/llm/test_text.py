@@ -146,6 +146,23 @@ def test_what_is_set_aside(page, expected):
     assert html_text.main_text(page) == expected
 
 
+LINK = "<p><a href=x>link</a>"
+WHOLE = [
+    (f"<div><p>{STORY}<p>{STORY}</div><article>teaser</article>", f"{STORY.strip()}\n\n{STORY.strip()}\n\nteaser"),
+    (f"<article><p>{STORY}{LINK * 3}</article>", "\n\n".join([STORY.strip()] + ["link"] * 3)),
+    (f"<article>{LINK * 4}<p>{STORY}{LINK * 4}<p>End.</article><p>out", "\n\n".join(["link"] * 4 + [STORY.strip()] + ["link"] * 4 + ["End."])),
+    (f"<article>{LINK}</article>", "link"),
+    (f"<p>{STORY}<div class=ad><p>a<p>b<p>c</div><p>End.", f"{STORY.strip()}\n\nEnd."),
+    (f"<p>Start.{LINK * 3}<p>{STORY}{LINK * 3}<p>End.", "\n\n".join(["Start."] + ["link"] * 3 + [STORY.strip()] + ["link"] * 3 + ["End."])),
+    (f"<p>Site{LINK * 9}<h1>T</h1><p>{STORY}{LINK * 9}<p>Imprint", "\n\n".join(["link"] * 2 + ["T", STORY.strip()])),
+]
+
+
+@pytest.mark.parametrize("page,expected", WHOLE)
+def test_main_text_is_whole(page, expected):
+    assert html_text.main_text(page) == expected
+
+
 def test_long_page_takes_linear_time():
     page = "<div>" * 2_000 + "<p>word word word</p>" * 40_000
     assert html_text.main_text(page).count("word") == 120_000
