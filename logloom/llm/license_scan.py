@@ -1,17 +1,21 @@
 """Licence recognition by sentence rules, in DataFrame functions alone.
 
-A text is cut into sentences, each is normalised (lower case, runs of other than letters and digits to one space)
-and mapped to the identifier of a known licence sentence. Unknown sentences stand between the known ones. A rule
-is an ordered sequence of identifiers; a licence is found where the known identifiers of consecutive sentences
-contain its sequence. Longer rules come first: a sentence that a longer rule has used is not used again.
-
-A sentence ends at a line feed, or at ``.``, ``!``, ``?`` or ``;`` before white space or the text's end, so version
-numbers stay whole. The dictionaries are small constants written into the plan. Null and empty texts have no
-sentences. Equal rows are scanned each on their own. Empty tables give no rows. Other columns are ignored.
+A text is normalised (lower case, runs of other than letters and digits to one space) with its boundaries marked: a
+sentence ends at ``.``, ``!``, ``?`` or ``;`` before white space or the text's end, so version numbers stay whole, and at a
+blank line. A single line feed may be the end of a title or a wrapped sentence's: a known sentence may begin and end there, and
+may have line feeds in it. Known sentences are mapped to their identifiers, from the left, the longest first. Unknown sentences stand
+between the known ones; a list marker (``1.``, ``2)``, ``(a)``, ``iv.``, bullets) is none. A rule is an ordered sequence of identifiers; a
+licence is found where the known identifiers of consecutive sentences contain its sequence. Longer rules come first: a sentence
+that a longer rule has used is not used again.
+
+A blank line before an address does not end a sentence. The dictionaries are small constants written into the plan. Null and
+empty texts have no sentences. Equal rows are scanned each on their own. Empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,20 +70,48 @@ RULES: list[tuple[str, list[str]]] = [
     ("CC0-1.0", ["cc0-dedicated"]),
 ]
 
-SENTENCE_END = "\\n|[.!?;]([ \\t-\\r]|\\z)"
-#: Every known sentence has one of these; others are not normalised.
+#: Every sentence of ``SENTENCES`` has one of these; texts without are not normalised.
 HINT = "(?i)licen[sc]e|permi|redistribut|copyright|warrant"
 
+_MARKER = "(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})"
+#: (pattern, replacement) in order, on lower-case texts: ``E`` is an end, ``L`` a line feed or what may be in a sentence like one.
+_BOUNDARIES = [
+    (rf"(?m)^([^a-z0-9\n]*{_MARKER})\)(?=[ \t-\r])", "$1. "),
+    (rf"([:.!?;])([ \t-\r]+[^a-z0-9\n]{{0,3}}{_MARKER})[.)](?=[ \t-\r])", "$1 L $2. "),
+    (r"[.!?;](?=[ \t-\r]|\z)", " E "),
+    (r"\n[^a-z0-9E\n]*\n(?![^a-z0-9]{0,80}https?://)", " E "),
+    (r"\n", " L "),
+    ("[^a-z0-9EL]+", " "),
+]
+#: What is between two sentences that follow each other.
+_NO_SENTENCE = rf"^[EL ]*({_MARKER} E[EL ]*)?\z"
+
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def bounded(text: Column) -> Column:
+    """The text's normalised words with ``E`` and ``L`` between them."""
+    text = F.lower(text)
+    for pattern, by in _BOUNDARIES:
+        text = F.regexp_replace(text, pattern, by)
+    return F.concat(F.lit("E "), F.trim(text), F.lit(" E"))
 
 
 def plain(sentence: str) -> str:
-    """``normalised`` for a constant."""
+    """The words of a constant as ``bounded`` writes them."""
     return " ".join("".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789" else " " for c in sentence.lower()).split())
 
 
+def hint(sentences: dict[str, str]) -> str:
+    """A pattern that is in every text with a sentence: ``HINT``, and the longest words of the sentences without."""
+    others = {max(plain(s).split(), key=len) for s in sentences.values() if plain(s) and not re.search(HINT, plain(s))}
+    return "|".join([HINT, *sorted(others)])
+
+
+def _words_pattern(sentence: str) -> str:
+    """Of a sentence in ``bounded`` text: line feeds between its words, ends where it has its own."""
+    parts = [plain(part).replace(" ", " (?:L )*+") for part in re.split(r"[.!?;](?=[ \t-\r])", sentence)]
+    return " (?:[EL] )*+".join(part for part in parts if part)
+
+
 def scan(documents: DataFrame, sentences: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None) -> DataFrame:
     """Per row: doc_id, sentence_ids (of the known sentences, in order) and licences (distinct, sorted).
 
@@ -87,12 +119,14 @@ def scan(documents: DataFrame, sentences: dict[str, str] | None = None, rules: l
     """
     sentences, rules = sentences or SENTENCES, rules or RULES
     known = F.create_map(*[F.lit(x) for name, text in sentences.items() for x in (plain(text), name)])
+    longest = sorted((text for text in set(sentences.values()) if plain(text)), key=lambda text: (-len(plain(text)), text))
+    any_known = "(?<=[EL] )(?:" + "|".join(map(_words_pattern, longest)) + ")(?= [EL])"
     ordered = sorted(rules, key=lambda rule: -len(rule[1]))
     patterns = F.array(*[F.struct(F.lit("".join(f"|{i}|" for i in ids)).alias("pattern"), F.lit(licence).alias("licence")) for licence, ids in ordered])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    parts = F.when(text.rlike(HINT), F.split(text, SENTENCE_END)).otherwise(F.array().cast("array<string>"))
-    names = F.filter(F.transform(parts, lambda s: F.when(s.rlike(HINT), normalised(s)).when(s.rlike("[a-zA-Z0-9]"), F.lit("?"))), lambda s: s != "")
-    ids = F.transform(names, lambda s: F.coalesce(F.try_element_at(known, s), F.lit("~")))
+    parts = F.when(text.rlike(hint(sentences)), F.split(F.regexp_replace(bounded(text), any_known, "\n$0\n"), "\n")).otherwise(F.array().cast("array<string>"))
+    names = F.transform(parts, lambda s: F.coalesce(F.try_element_at(known, F.regexp_replace(s, " [EL](?= )", "")), F.when(s.rlike(_NO_SENTENCE), "").otherwise("~")))
+    ids = F.filter(names, lambda s: s != "")
     found = documents.select("doc_id", ids.alias("ids"))
     written = F.array_join(F.transform("ids", lambda i: F.when(i == "~", i).otherwise(F.concat(F.lit("|"), i, F.lit("|")))), "")
     start = F.struct(written.alias("left"), F.array().cast("array<string>").alias("licences"))

@@ -95,6 +95,94 @@ def test_licences(spark):
     assert [r["licences"] for r in got] == [expected for _, expected in LICENCES]
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A. Uthor
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND.
+"""
+BSD = """Copyright (c) 2020, A. Uthor
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+"""
+BSD_3 = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+AS_IS = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"\nAND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.\n'
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+APACHE = """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law
+"""
+CC0 = "To the extent possible under law, the author has\nwaived all copyright and related or neighboring rights\nto this work."
+BSD_IDS = ["bsd-redistribution", "bsd-source", "bsd-binary"]
+PUBLISHED = [
+    (MIT, ["mit-title", "mit-grant", "mit-notice"], ["MIT"]),
+    (BSD + AS_IS, BSD_IDS, ["BSD-2-Clause"]),
+    (BSD + BSD_3 + AS_IS, [*BSD_IDS, "bsd-endorse"], ["BSD-3-Clause"]),
+    (GPL, ["gpl-free", "gpl-no-warranty"], ["GPL-3.0-or-later"]),
+    (APACHE, ["apache-2-licensed-notice", "apache-2-compliance", "apache-2-copy"], ["Apache-2.0"]),
+    (CC0, ["cc0-dedicated"], ["CC0-1.0"]),
+    ("Licensed under the\n\nMIT License, they say", [], []),
+    ("Licensed under the MIT License\nCopyright 2020 A. Uthor", ["mit-licensed"], ["MIT"]),
+]
+
+
+def test_licences_as_published(spark):
+    """Wrapped, as comments, with other markers, on one line, with other line ends; the sentences' order stays."""
+    forms = [
+        lambda text: text,
+        lambda text: "Some words.\n\n" + "".join(f" * {line}\n" for line in text.splitlines()) + "\nMore words",
+        lambda text: text.replace("1. R", "(a) R").replace("2. R", "(b) R").replace("3. N", "c) N"),
+        lambda text: text.replace("1. R", "* R").replace("2. R", "- R").replace("3. N", "\u2022 N"),
+        lambda text: text.replace("\n", "\r\n"),
+    ]
+    rows = [(i, form(text), k) for i, form in enumerate(forms) for k, (text, _, _) in enumerate(PUBLISHED)]
+    rows += [(9, " ".join(PUBLISHED[k][0].split()), k) for k in (1, 2, 3)]
+    got = license_scan.scan(spark.createDataFrame([(f"{i} {k}", text) for i, text, k in rows], "doc_id string, text string")).collect()
+    assert {r["doc_id"]: (r["sentence_ids"], r["licences"]) for r in got} == {f"{i} {k}": PUBLISHED[k][1:] for i, _, k in rows}
+
+
+def test_own_sentences(spark):
+    rows = [(1, "Intro.\nFree for all\nuses. Even at night."), (2, "free for all"), (3, None)]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), {"free": "Free for all uses. Even at night"}, [("Own", ["free"])])
+    assert [r["licences"] for r in got.orderBy("doc_id").collect()] == [["Own"], [], []]
+
+
 def test_scan_of_all_kinds_of_texts(documents, no_documents):
     assert license_scan.scan(documents).where("size(licences) > 0").count() == 1
     assert license_scan.scan(no_documents).count() == 0
