@@ -364,12 +364,17 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def without_near_duplicates(documents: DataFrame) -> DataFrame:
     """One row of each group, all columns as they came: the one of the smallest doc_id.
 
-    A document with an empty set is a group of its own. Equal rows of one id count as one row.
+    A document with an empty set is a group of its own; of one id, only those equal in all columns count as one row, and those
+    without an id all stay. Other rows of one id and text count as one.
     """
     found = near_duplicates(documents)
     grouped = found.where("group is not null").groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")).alias("first"))
-    chosen = grouped.select(F.col("first.row_key").alias("key")).union(found.where("group is null").select("row_key")).distinct()
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
-    keyed = documents.select(row, F.xxhash64("doc_id", F.col("text").cast("string")).alias("key"))
-    kept = keyed.join(staged(chosen), "key", "left_semi")
-    return kept.groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    chosen = grouped.select(F.col("first.row_key").alias("key"))
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    text = F.col("text").cast("string")
+    has_words = F.coalesce(text.rlike("[^ \\t-\\r]"), F.lit(False))
+    kept = documents.where(has_words).select(row.alias("row"), F.xxhash64("doc_id", text).alias("key")).join(staged(chosen), "key", "left_semi")
+    kept = kept.groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    empty = documents.where(~has_words)
+    named = empty.where("doc_id is not null").groupBy("doc_id", F.md5(F.to_json(row)).alias("digest")).agg(F.first(row).alias("row")).select("row.*")
+    return kept.unionAll(named).unionAll(empty.where("doc_id is null"))

@@ -46,6 +46,13 @@ def test_null_ids_and_chains(spark):
     assert near_dup.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).count() == 3
 
 
+def test_rows_without_words_stay(spark):
+    """Null ids and blank texts share a key, but not their other columns; a row twice, with its id, is one."""
+    rows = [(None, None, "en"), (None, None, "en"), (None, None, "de"), (None, " ", "fr"), (None, " ", "fr"), (1, "", "en"), (1, "", "de"), (1, "", "de"), (2, "\t", "en")]
+    kept = near_dup.without_near_duplicates(spark.createDataFrame([*rows, (3, "two words", "en"), (3, "two words", "en")], "doc_id long, text string, lang string"))
+    assert Counter(map(tuple, kept.collect())) == Counter([*rows[:7], rows[8], (3, "two words", "en")])
+
+
 def test_groups_of_many_similarities(spark):
     """A passage shared in different shares makes similarities on both sides of the threshold."""
     passage = prose(12, 120)
