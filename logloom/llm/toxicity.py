@@ -39,6 +39,8 @@ SPAN = 7
 DECAY = 0.6
 TOXIC_LANDMARKS, CLEAN_LANDMARKS = 192, 64
 MOST_DOCUMENTS = 4_000
+#: Sentences taken of a clean document: those with the strongest marks, and up to so many of the others, at a stride.
+MARKED_SENTENCES, OTHER_SENTENCES, OTHER_STRIDE = 6, 4, 8
 #: Units that may mark a sentence as toxic, at most; their least log odds, and these over their standard error.
 MOST_MARKS = 4_000
 LEAST_LOG_ODDS, LEAST_MARK = 1.5, 2.5
@@ -274,7 +276,8 @@ def marking_units(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
 def labelled_sentences(sample: DataFrame, marks: dict[str, float]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(units, labels, counts): the unit that represents a sentence, over the sample's distinct sentences.
 
-    Of a clean document, the six sentences with the strongest marks count and up to four of the others.
+    Of a clean document, ``MARKED_SENTENCES`` with the strongest marks count, and of the others every ``OTHER_STRIDE``-th, up to
+    ``OTHER_SENTENCES``.
     """
     shared = sample.sparkSession.sparkContext.broadcast(marks)
 
@@ -283,7 +286,7 @@ def labelled_sentences(sample: DataFrame, marks: dict[str, float]) -> tuple[list
             found = set()
             for text, label in zip(batch["text"], batch["label"]):
                 best = sorted(((*max((shared.value.get(u, -1.0), u) for u in units), zlib.crc32(" ".join(units).encode("utf-8", "replace"))) for units in sentences_of(text)), reverse=True)
-                for mark, unit, sentence in best if label else best[:6] + best[6::8][:4]:
+                for mark, unit, sentence in best if label else best[:MARKED_SENTENCES] + best[MARKED_SENTENCES::OTHER_STRIDE][:OTHER_SENTENCES]:
                     if mark > 0 or not label:
                         found.add((unit, int(label), sentence))
             yield pd.DataFrame(list(found), columns=["unit", "label", "sentence"])

@@ -324,3 +324,11 @@ def test_toxicity_learns_and_tolerates_inserted_letters(spark, documents, no_doc
     assert len(scores) == documents.count() and all(0 <= r["score"] <= 1 for r in scores)
     assert {r["score"] for r in toxicity.classify(documents, labels.where("label = 1")).collect()} == {0.0}
     assert toxicity.classify(no_documents, labels).count() == 0
+
+
+def test_sentences_of_clean_documents_are_counted_by_the_named_numbers(spark, monkeypatch):
+    rows = spark.createDataFrame([(" ".join(f"word{chr(97 + i)}{chr(97 + k)} here." for i in range(20) for k in range(5)), 0)], "text string, label int")
+    assert toxicity.labelled_sentences(rows, {})[2].sum() == toxicity.MARKED_SENTENCES + toxicity.OTHER_SENTENCES == 10
+    monkeypatch.setattr(toxicity, "MARKED_SENTENCES", 3)
+    monkeypatch.setattr(toxicity, "OTHER_STRIDE", 60)
+    assert toxicity.labelled_sentences(rows, {})[2].sum() == 3 + 2
