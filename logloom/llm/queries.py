@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import decontamination, html_text, license_scan, line_dedup, near_dup, packing, phrase_dedup, quality_classifier, quality_rules, sql, toxicity
+from logloom.llm import (
+    decontamination,
+    fill_in_middle,
+    html_text,
+    license_scan,
+    line_dedup,
+    near_dup,
+    packing,
+    phrase_dedup,
+    quality_classifier,
+    quality_rules,
+    source_divergence,
+    sql,
+    token_counts,
+    toxicity,
+)
 from logloom.llm.storage import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +98,25 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = fill_in_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return changed.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256")
+    )
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    counts = token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_near_duplicates": op2_near_duplicates,
@@ -94,6 +128,9 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_token_counts": op12_token_counts,
+    "op13_source_divergence": op13_source_divergence,
 }
 #: ``corpus_pipeline.run`` is registered with these where it is installed, see ``__spark_entry__.py``.
 ORACLE_SQL: dict[str, str] = sql.ORACLE_SQL

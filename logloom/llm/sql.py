@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logloom.llm import decontamination, license_scan, line_dedup, near_dup, phrase_dedup
+from logloom.llm import decontamination, fill_in_middle, license_scan, line_dedup, near_dup, phrase_dedup, source_divergence
 
 #: ``[^\x20\x09-\x0D]+`` as a list of words; a null text has none.
 _WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
@@ -92,10 +92,68 @@ def decontamination_sql() -> str:
     SELECT doc_id, n_words, n_hit, len(ids)::BIGINT AS n_items, sha256(array_to_string(ids, ',')) AS items_sha256, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM t"""
 
 
+def fill_in_middle_sql() -> str:
+    m = fill_in_middle
+    p, s, mid = m.PREFIX, m.SUFFIX, m.MIDDLE
+    h = [f"('0x' || substr(digest, {1 + 8 * i}, 8))::BIGINT" for i in range(4)]
+
+    def cut(first: str, last: str) -> str:
+        """What lies between two marks of the output."""
+        end = f"strpos(output, '{last}')" if last else "length(output) + 1"
+        return f"substr(output, strpos(output, '{first}') + {len(first)}, {end} - strpos(output, '{first}') - {len(first)})"
+
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('{m.SALT}:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+    l AS (SELECT *, regexp_extract_all(text, '[^\\n]*\\n|[^\\n]+') AS lines, {h[0]} AS h1, {h[1]} AS h2, {h[2]} AS h3, {h[3]} AS h4 FROM d),
+    c AS (SELECT *, len(lines) AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a, greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b,
+          CASE WHEN text = '' OR contains(text, '{p}') OR contains(text, '{s}') OR contains(text, '{mid}') OR h3 % 100 >= {m.PERCENT} THEN '{m.PLAIN}'
+               WHEN h4 % 100 < {m.SPM_PERCENT} THEN '{m.SPM}' ELSE '{m.PSM}' END AS form FROM l),
+    x AS (SELECT *, array_to_string(lines[1:a], '') AS prefix, array_to_string(lines[a + 1:b], '') AS middle, array_to_string(lines[b + 1:n], '') AS suffix FROM c),
+    o AS (SELECT *, CASE form WHEN '{m.PSM}' THEN '{p}' || prefix || '{s}' || suffix || '{mid}' || middle
+                              WHEN '{m.SPM}' THEN '{s}' || suffix || '{p}' || prefix || '{mid}' || middle ELSE text END AS output FROM x)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> '{m.PLAIN}' THEN length(prefix)::BIGINT END AS prefix_chars,
+           CASE WHEN form <> '{m.PLAIN}' THEN length(middle)::BIGINT END AS middle_chars, sha256(output) AS output_sha256,
+           sha256(CASE form WHEN '{m.PSM}' THEN {cut(p, s)} || {cut(mid, '')} || {cut(s, mid)}
+                            WHEN '{m.SPM}' THEN {cut(p, mid)} || {cut(mid, '')} || {cut(s, p)} ELSE output END) AS restored_sha256 FROM o"""
+
+
+def source_divergence_sql() -> str:
+    m = source_divergence
+    share = f"1 + {m.SCALE}::HUGEINT * ({{count}} + 1) // ({{total}} + terms)"
+    difference = "(p - q) * (p - q) // q"
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all({_FOLDED.format(text="coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+    w AS (SELECT r, lang, source, unnest(words) AS term FROM d),
+    kept AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= {m.LEAST_DOCS}),
+    langs AS (SELECT d.lang, coalesce(any_value(terms), 0) AS terms, coalesce(any_value(lang_total), 0) AS lang_total
+              FROM d LEFT JOIN (SELECT lang, count(*) AS terms, sum(lang_n) AS lang_total FROM kept GROUP BY lang) k ON d.lang = k.lang GROUP BY d.lang),
+    found AS (SELECT w.lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY w.lang, source, term),
+    totals AS (SELECT lang, source, sum(n) AS total FROM found GROUP BY lang, source),
+    groups AS (SELECT g.lang, g.source, coalesce(total, 0) AS total, terms FROM (SELECT DISTINCT lang, source FROM d) g
+               JOIN langs ON langs.lang = g.lang LEFT JOIN totals ON totals.lang = g.lang AND totals.source = g.source),
+    shares AS (SELECT groups.lang, groups.source, kept.term, coalesce(n, 0) AS n, {share.format(count='coalesce(n, 0)', total='total')} AS p
+               FROM groups JOIN kept ON kept.lang = groups.lang
+               LEFT JOIN found ON found.lang = groups.lang AND found.source = groups.source AND found.term = kept.term),
+    sums AS (SELECT lang, source, item, sum({difference}) AS value
+             FROM (SELECT a.lang, a.source, b.source AS item, a.p, b.p AS q FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source)
+             GROUP BY lang, source, item),
+    pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+    terms AS (SELECT lang, source, item, ({difference})::BIGINT AS value
+              FROM (SELECT s.lang, source, s.term AS item, p, {share.format(count='lang_n', total='lang_total')} AS q
+                    FROM shares s JOIN kept ON kept.lang = s.lang AND kept.term = s.term JOIN langs ON langs.lang = s.lang WHERE n > 0) WHERE p > q),
+    parts AS (SELECT 'pair' AS part, * FROM pairs UNION ALL SELECT 'term', * FROM terms),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY part, lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM parts)
+    SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {m.TOP_TERMS}"""
+
+
 ORACLE_SQL = {
     "op2_near_duplicates": near_duplicates(),
     "op3_line_dedup": line_dedup_sql(),
     "op6_license_scan": license_scan_sql(),
     "op7_phrase_dedup": phrase_dedup_sql(),
     "op10_decontamination": decontamination_sql(),
+    "op11_fill_in_middle": fill_in_middle_sql(),
+    "op13_source_divergence": source_divergence_sql(),
 }
