@@ -13,7 +13,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, tasks: int | None = None) -> DataFrame:
+def staged(df: DataFrame, tasks: int | None = None, codec: str = "snappy") -> DataFrame:
     """``df`` written once as Parquet and read again; by ``tasks`` tasks, where many would write little each.
 
     It cuts the lineage: a lost executor costs a task that rereads the file, not the work that made it.
@@ -21,7 +21,7 @@ def staged(df: DataFrame, tasks: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark)
-    (df.coalesce(tasks) if tasks else df).write.parquet(path)
+    (df.coalesce(tasks) if tasks else df).write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm.storage import staged
 
-HEAD_ROWS = 1 << 16
+HEAD_ROWS = 1 << 18
 HEAD_CHARS = 64
 #: Pre-tokens of documents handed on together.
 FLUSH_PRE_TOKENS = 200_000
@@ -156,20 +156,21 @@ def piece_counts(pairs: DataFrame, tokenizer_path: str) -> DataFrame:
 
 
 def head_bound(dictionary: DataFrame, head_rows: int) -> int:
-    """The least power of two such that at most ``head_rows`` pre-tokens are in as many documents; from 64 numbers."""
-    powers = dictionary.groupBy((F.length(F.bin("n_docs")) - 1).alias("power")).agg(F.count("*").alias("n"))
+    """The least number of documents that at most ``head_rows`` pre-tokens reach, to five leading bits; from a few hundred numbers."""
+    low = F.greatest(F.length(F.bin("n_docs")) - 5, F.lit(0))
+    sizes = dictionary.groupBy(F.col("n_docs").bitwiseAND(F.call_function("shiftleft", F.lit(-1).cast("long"), low)).alias("least")).agg(F.count("*").alias("n"))
     total, bound = 0, 1 << 62
-    for row in sorted(powers.collect(), reverse=True):
+    for row in sorted(sizes.collect(), reverse=True):
         total += row["n"]
         if total > head_rows:
             break
-        bound = 1 << row["power"]
+        bound = row["least"]
     return bound
 
 
 def count_tokens(documents: DataFrame, tokenizer_path: str, head_rows: int = HEAD_ROWS) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of every document."""
-    texts = staged(pre_token_frequencies(documents, tokenizer_path).withColumn("row", F.monotonically_increasing_id()))
+    texts = staged(pre_token_frequencies(documents, tokenizer_path).withColumn("row", F.monotonically_increasing_id()), codec="zstd")
     pairs = texts.select("row", F.inline(F.arrays_zip("tokens", "counts")).alias("token", "count"))
     dictionary = staged(piece_counts(pairs, tokenizer_path))
     is_head = (F.col("n_docs") >= head_bound(dictionary, head_rows)) & (F.length("token") <= HEAD_CHARS)
