@@ -14,7 +14,7 @@ from .operators import (
 )
 from .plans import run
 from .registry import DEFAULT, Registry, define
-from .sources import read_raw_logs, write_table
+from .sources import read_published, read_raw_logs, remove_unpublished, write_table
 
 __all__ = [
     "DEFAULT",
@@ -25,7 +25,9 @@ __all__ = [
     "define",
     "event_counts",
     "filter_logs",
+    "read_published",
     "read_raw_logs",
+    "remove_unpublished",
     "run",
     "shape_borrow",
     "shape_deposit",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import words
 from ..registry import DEFAULT, Registry, broadcast_routes
-from ..registry.model import by_def
+from ..registry.model import METADATA, by_def
 
 # Fixed value: the error text of every log without a route or with bad data.
 NOT_DECODED = "No matching ABI or decode_log returned None"
@@ -104,8 +104,7 @@ def decode_logs(logs: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
 
 
 def _names(registry: Registry) -> Column:
-    metadata = ["_event", "_version", "_contract", "_protocol"]
-    names = [metadata + [n for n, _ in d.topic_fields + d.data_fields] for d in registry.definitions]
+    names = [[*METADATA, *(d.field_names[i] for i in d.kept_fields)] for d in registry.definitions]
     return by_def(names, "array<string>")
 
 
@@ -124,11 +123,13 @@ def _values(registry: Registry) -> Column:
     )
     topics = [_text(registry, "topic", p, F.get("topics", F.lit(p))) for p in range(1, registry.n_topics + 1)]
     data = [_text(registry, "data", p, words.data_word(F.col(DATA), p)) for p in range(registry.n_words)]
-    return F.concat(
-        metadata,
+    fields = F.concat(
         F.slice(F.array(*topics), F.lit(1), by_def([len(d.topic_fields) for d in defs], "int")),
         F.slice(F.array(*data), F.lit(1), by_def([len(d.data_fields) for d in defs], "int")),
     )
+    if any(len(d.kept_fields) < len(d.field_names) for d in defs):  # a registry without repeated names has no need of it
+        fields = F.transform(by_def([d.kept_fields for d in defs], "array<int>"), lambda i: F.get(fields, i))
+    return F.concat(metadata, fields)
 
 
 def _text(registry: Registry, source: str, position: int, raw: Column) -> Column:

@@ -1,3 +1,3 @@
-from .pipeline import run, stage_logs, target_dates
+from .pipeline import run, stage_logs
 
-__all__ = ["run", "stage_logs", "target_dates"]
+__all__ = ["run", "stage_logs"]

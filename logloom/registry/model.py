@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 # Registry tables are broadcast only up to this many rows; larger ones are joined by a sort-merge join.
 MAX_BROADCAST_ROWS = 200_000
 
+# What every payload says of its definition.
+METADATA = ("_event", "_version", "_contract", "_protocol")
+
 Field = tuple[str, str]  # (name, solidity type)
 
 DEFINITION_ROW = (
@@ -23,7 +26,11 @@ CONTRACT_ROW = "struct<contract:string,protocol_rank:int,def_ids:array<int>>"
 
 @dataclass(frozen=True)
 class EventDef:
-    """One event layout. Topic fields sit at topics 1, 2, ...; data fields at data words 0, 1, ..."""
+    """One event layout. Topic fields sit at topics 1, 2, ...; data fields at data words 0, 1, ...
+
+    A name may be used again: the last field of the name is the one that is decoded, data coming after topics. The others
+    are still checked.
+    """
 
     protocol: str
     version: str
@@ -34,9 +41,18 @@ class EventDef:
     data_fields: tuple[Field, ...]
 
     def __post_init__(self) -> None:
-        names = [name for name, _ in self.topic_fields + self.data_fields]
-        if len(names) != len(set(names)):
-            raise ValueError(f"{self.event} {self.version}: a field name is used twice")
+        taken = set(METADATA) & set(self.field_names)
+        if taken:
+            raise ValueError(f"{self.event} {self.version}: {sorted(taken)} are names of the payload's own")
+
+    @property
+    def field_names(self) -> list[str]:
+        return [name for name, _ in self.topic_fields + self.data_fields]
+
+    @property
+    def kept_fields(self) -> list[int]:
+        """Positions, topics first, of the last field of each name."""
+        return sorted({name: i for i, name in enumerate(self.field_names)}.values())
 
 
 def define(protocol: str, version: str, event: str, signature: str, topic0: str, topics: str, data: str) -> EventDef:

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .scratch import dated_folders, delete_path
 
 APPEND = "append"
+APPEND_NEW = "append_new"
 OVERWRITE_PARTITIONS = "overwrite_partitions"
+MODES = (APPEND, APPEND_NEW, OVERWRITE_PARTITIONS)
 
 
 def write_table(rows: DataFrame, output: str, name: str, mode: str = APPEND) -> str:

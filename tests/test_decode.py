@@ -18,7 +18,7 @@ from logloom.operators import (
 )
 from logloom.operators.decode import BAD_TOPIC, NOT_DECODED
 from logloom.operators.shape import TABLES
-from logloom.registry import DEFAULT
+from logloom.registry import DEFAULT, Registry, define
 from logloom.sources import RAW_SCHEMA
 from workload.logs import CDAI, MINT, MORPHO, POOL_V2, WITHDRAW_V2, BORROW_V2, event_logs
 
@@ -189,3 +189,24 @@ def test_checked_columns_are_lazy(spark):
     checked = check_logs(logs_of(spark, [GOLDEN[0][0]]))
     assert {"def_id", "log_error"} <= set(checked.columns)
     assert len(DEFAULT.definitions) > checked.select(F.max("def_id")).first()[0] >= 0
+
+
+def test_repeated_names_keep_the_last_field(spark, ansi):
+    """In topics and data, in the topics alone, and under a table's own keys; a shadowed word is still checked."""
+    contract, topic0 = "0x" + "33" * 20, "0x" + "02" * 32
+    twice = define("p", "v1", "Deposit", "D(address,address,uint16,address,uint256)", topic0, "reserve address, user address, user address", "reserve address, amount uint256, amount uint8")
+    registry = Registry((((contract, (twice,)),), *DEFAULT.protocols))
+    word = [f"{i:064x}" for i in range(1, 9)]
+    logs = logs_of(spark, [(contract, [topic0, *("0x" + w for w in word[:3])], "0x" + "".join(word[3:6])), (contract, [topic0], "0x" + "".join(word[3:6])), (contract, [topic0], "0x" + "f" * 64 + word[4] + word[5])])
+    rows = decode_logs(logs, registry).orderBy("block_number").collect()
+    expected = {"_event": "Deposit", "_version": "v1", "_contract": contract, "_protocol": "p", "reserve": "0x" + word[3][-40:], "user": "0x" + word[2][-40:], "amount": "6"}
+    assert [r["decode_result"]["data"] for r in rows] == [expected, expected | {"user": None}, None]
+    assert rows[2]["decode_result"]["error"] == NOT_DECODED
+    typed = table_rows(with_target(logs, registry), TABLES[3], registry)
+    shaped = shape(decoded_logs(decode_logs(logs, registry)), TABLES[3])
+    assert TABLES[3].name == "deposit" and sorted(map(str, typed.collect())) == sorted(map(str, shaped.collect())) and typed.count() == 2
+
+
+def test_names_of_the_payload_are_refused():
+    with pytest.raises(ValueError, match="_event"):
+        define("p", "v1", "E", "E(uint256)", "0x" + "01" * 32, "", "_event uint256")

@@ -184,16 +184,42 @@ def shaped(table: str) -> str:
         FROM l WHERE ok AND ({' OR '.join(keys)})"""
 
 
+def all_shaped() -> str:
+    """The five tables as rows (table, transaction_hash, column, value), the values as text."""
+    parts, selected = [], []
+    for table, (columns, _) in SHAPED.items():
+        parts.append(f'"{table}" AS MATERIALIZED ({shaped(table)})')
+        header = ["block_number", "log_index", "protocol", "protocol_version", "date", "project_contract"]
+        for column in [*header, *(item.split(":")[0] for item in columns.split())]:
+            selected.append(f"""SELECT '{table}' AS "table", transaction_hash, '{column}' AS "column", CAST("{column}" AS VARCHAR) AS value FROM "{table}\"""")
+        selected.append(f"""SELECT '{table}', transaction_hash, 'block_timestamp', CAST(epoch_us(block_timestamp) AS VARCHAR) FROM "{table}\"""")
+    return f"WITH {', '.join(parts)} {' UNION ALL '.join(selected)}"
+
+
+def mint_counts() -> str:
+    """Rows per written table and date of the logs whose first topic is that of the cToken mint."""
+    return event_counts(by_date=True, written=True, where=f"((kind <> 18 AND topic0 = '{MINT}') OR (kind = 18 AND contract = '{MORPHO}'))")
+
+
+def repeated_names() -> str:
+    """Deposits of one pool by a definition that uses ``reserve`` twice: the data's value stays."""
+    fields = {"_event": "event", "_version": "version", "_contract": "contract", "_protocol": "protocol", "reserve": _field_text("address", "10"),
+              "onBehalfOf": _field_text("address", "2"), "referral": _field_text("uint16", "3"), "amount": _field_text("wide", "11")}
+    return base() + " UNION ALL ".join(
+        f" SELECT block_number, '{name}' AS name, {value} AS value FROM l WHERE ok AND contract = '{POOL_V2}' AND event = 'Deposit'" for name, value in fields.items()
+    )
+
+
 def logs_date_range(first: str, last: str) -> str:
     return f"""{base()} SELECT date, count(*) AS n, min(block_number) AS first_block, max(block_number) AS last_block
         FROM l WHERE date BETWEEN DATE '{first}' AND DATE '{last}' GROUP BY date"""
 
 
 def logs_known() -> str:
-    foreign = f"CASE WHEN contract = '{MORPHO}' THEN '{MINT}' ELSE '{MORPHO_SUPPLY}' END"
-    return f"""{base()} SELECT block_number, CAST(log_index AS BIGINT) AS log_index,
-        CASE WHEN sp = 8 THEN '0x{CDAI[2:].upper()}' ELSE contract END AS address,
-        CASE WHEN kind = 18 THEN {foreign} ELSE topic0 END AS topic0 FROM l WHERE known"""
+    """All columns of the filter's result, the topics as one text."""
+    topics = f"concat_ws(',', first_topic, CASE WHEN sp = 11 THEN {_topics_of(WITHDRAW_V2, 2)} ELSE {_per_definition(_topics)} END)"
+    return f"""{_raw('known')} SELECT block_number, ts AS block_timestamp, transaction_hash, CAST(log_index AS BIGINT) AS log_index, date,
+        CASE WHEN sp = 8 THEN '0x{CDAI[2:].upper()}' ELSE contract END AS address, {topics} AS topics, {_faulty_data()} AS data FROM d"""
 
 
 def decode_status() -> str:
@@ -225,27 +251,41 @@ def _per_definition(text) -> str:
     return f"CASE {' '.join(whens)} END"
 
 
-def dead_letter() -> str:
-    """Every word of topics and payload by its formula, then the faults of the special logs."""
+def _topics(d, most: int = 3) -> str:
+    """The topics after the first one, comma-separated."""
+    words = [f"'0x' || {_word(_formula(*field), j)}" for j, field in enumerate(d.topic_fields[:most], 1)]
+    if (d.protocol, d.version, d.event) == ("aave", "v2", "Borrow"):
+        words[2] = f"CASE WHEN sp = 13 THEN '0xzz' ELSE {words[2]} END"
+    return " || ',' || ".join(words) or "NULL"
+
+
+def _topics_of(topic0: str, most: int) -> str:
+    return _topics(next(d for _, reached in FAMILIES for d in reached if d.topic0 == topic0), most)
 
-    def topics(d) -> str:
-        words = [f"'0x' || {_word(_formula(*field), j)}" for j, field in enumerate(d.topic_fields, 1)]
-        if (d.protocol, d.version, d.event) == ("aave", "v2", "Borrow"):
-            words[2] = f"CASE WHEN sp = 13 THEN '0xzz' ELSE {words[2]} END"
-        return "concat_ws(',', first_topic" + "".join(f", {w}" for w in words) + ")"
 
-    def payload(d) -> str:
-        return " || ".join(["'0x'"] + [_word(_formula(*field), j) for j, field in enumerate(d.data_fields, 10)])
+def _payload(d) -> str:
+    return " || ".join(["'0x'"] + [_word(_formula(*field), j) for j, field in enumerate(d.data_fields, 10)])
 
+
+def _raw(condition: str) -> str:
+    """``d``: logs with their first topic and the payload without faults."""
     foreign = f"CASE WHEN contract = '{MORPHO}' THEN '{MINT}' ELSE '{MORPHO_SUPPLY}' END"
     return f"""{base()},
-        t AS (SELECT *, CASE WHEN kind = 18 THEN {foreign} ELSE topic0 END AS first_topic FROM l WHERE known AND NOT ok),
-        d AS (SELECT *, {_per_definition(topics)} AS topics, {_per_definition(payload)} AS body FROM t)
-        SELECT block_number, ts AS block_timestamp, transaction_hash, CAST(log_index AS BIGINT) AS log_index, date,
-        contract AS address, CASE WHEN sp = 13 THEN '{BAD_TOPIC}' ELSE '{GENERIC}' END AS error, topics,
-        CASE sp WHEN 0 THEN left(body, length(body) - 64) WHEN 1 THEN left(body, length(body) - 1)
-        WHEN 2 THEN '0xzz' || substr(body, 5) WHEN 3 THEN NULL WHEN 4 THEN '' WHEN 12 THEN '0xff' || substr(body, 5)
-        ELSE body END AS raw_data FROM d"""
+        t AS (SELECT *, CASE WHEN kind = 18 THEN {foreign} ELSE topic0 END AS first_topic FROM l WHERE {condition}),
+        d AS (SELECT *, {_per_definition(_payload)} AS body FROM t)"""
+
+
+def _faulty_data() -> str:
+    return f"""CASE sp WHEN 0 THEN left(body, length(body) - 64) WHEN 1 THEN left(body, length(body) - 1)
+        WHEN 2 THEN '0xzz' || substr(body, 5) WHEN 3 THEN NULL WHEN 4 THEN '' WHEN 9 THEN body || '{"f" * 64}'
+        WHEN 10 THEN left(body, 66) || '{"f" * 64}' || substr(body, 131) WHEN 12 THEN '0xff' || substr(body, 5) ELSE body END"""
+
+
+def dead_letter() -> str:
+    """Every word of topics and payload by its formula, then the faults of the special logs."""
+    return f"""{_raw('known AND NOT ok')} SELECT block_number, ts AS block_timestamp, transaction_hash, CAST(log_index AS BIGINT) AS log_index, date,
+        contract AS address, CASE WHEN sp = 13 THEN '{BAD_TOPIC}' ELSE '{GENERIC}' END AS error,
+        concat_ws(',', first_topic, {_per_definition(_topics)}) AS topics, {_faulty_data()} AS raw_data FROM d"""
 
 
 def _field_text(formula: str, j: str) -> str:
@@ -281,12 +321,12 @@ def decode_fields() -> str:
         FROM l JOIN fields USING (protocol, version, event) WHERE ok"""
 
 
-def event_counts(by_date: bool = False, written: bool = False) -> str:
+def event_counts(by_date: bool = False, written: bool = False, where: str = "true") -> str:
     date = "date, " if by_date else ""
     unshaped = " AND (NOT ok OR \"table\" IS NOT NULL)" if written else ""
     return f"""{base()}, {_targets()}
         SELECT {date}CASE WHEN ok THEN coalesce("table", 'unshaped') ELSE 'dead_letter' END AS "table", count(*) AS n
-        FROM l LEFT JOIN targets USING (protocol, version, event) WHERE known{unshaped} GROUP BY ALL"""
+        FROM l LEFT JOIN targets USING (protocol, version, event) WHERE known{unshaped} AND {where} GROUP BY ALL"""
 
 
 def route_usage() -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from logloom.operators import (
     decoded_logs,
     event_counts,
     filter_logs,
+    known_spellings,
     shape,
     shape_deposit,
     table_rows,
@@ -26,12 +28,12 @@ from logloom.operators import (
 )
 from logloom.operators.shape import TABLES, EventTable
 from logloom.plans import run
-from logloom.sources import read_raw_logs
-from logloom.sources.scratch import scratch_path
+from logloom.sources import read_published, read_raw_logs
+from logloom.sources.scratch import child_names, scratch_path
 from logloom.registry import DEFAULT, Registry
 
 from . import oracle
-from .logs import event_logs, lineitem_logs
+from .logs import MINT, POOL_V2, event_logs, lineitem_logs
 
 RANGE = (date(2024, 1, 5), date(2024, 1, 20))
 NEW_CONTRACT = "0x" + "22" * 20
@@ -58,10 +60,19 @@ def logs_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _known_view(known: DataFrame) -> DataFrame:
+    """All columns of known logs, the topics as one text."""
+    return _comparable(known.select("block_number", "block_timestamp", "transaction_hash", "log_index", "date", "address", F.array_join("topics", ",").alias("topics"), "data"))
+
+
 def logs_known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_logs(event_logs(spark, sf_dir)).select(
-        "block_number", "log_index", "address", F.get("topics", F.lit(0)).alias("topic0")
-    )
+    return _known_view(filter_logs(event_logs(spark, sf_dir)))
+
+
+def logs_known_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows by the addresses as the source writes them, which the reader can skip row groups by."""
+    logs = read_raw_logs(spark, _raw_dataset(spark, sf_dir), *_full_range(spark, sf_dir))
+    return _known_view(filter_logs(logs, spellings=known_spellings(logs)))
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,11 +120,11 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written(spark: SparkSession, output: str) -> DataFrame:
     """Rows per table and date of everything the pipeline wrote."""
-    names = [t.name for t in TABLES] + ["dead_letter"]
-    tables = [spark.read.parquet(f"{output}/{name}").select("date", F.lit(name).alias("table")) for name in names]
-    merged = tables[0]
-    for other in tables[1:]:
-        merged = merged.unionByName(other)
+    return _counted({name: spark.read.parquet(f"{output}/{name}") for name in child_names(spark, output) if not name.startswith(("_", "."))})
+
+
+def _counted(tables: dict[str, DataFrame]) -> DataFrame:
+    merged = reduce(DataFrame.unionByName, [rows.select("date", F.lit(name).alias("table")) for name, rows in tables.items()])
     return merged.groupBy("date", "table").agg(F.count("*").alias("n"))
 
 
@@ -172,6 +183,64 @@ def pipeline_text_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(spark.read.parquet(f"{output}/deposit"))
 
 
+def pipeline_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other day has block numbers and positions as text, the schema is taken from the files: deposits as written."""
+    source, output = scratch_path(spark), scratch_path(spark)
+    logs, text = event_logs(spark, sf_dir), ("block_number", "log_index")
+    for odd, part in ((0, logs), (1, logs.withColumns({c: F.col(c).cast("string") for c in text}))):
+        part.where(F.dayofmonth("date") % 2 == odd).hint("rebalance", F.col("date")).write.partitionBy("date").mode("append").parquet(source)
+    run(spark, source, output, *_full_range(spark, sf_dir), schema=None)
+    return _comparable(spark.read.parquet(f"{output}/deposit"))
+
+
+def pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All values of the five tables as written, each as a row of text."""
+    source, output = _raw_dataset(spark, sf_dir), scratch_path(spark)
+    run(spark, source, output, *_full_range(spark, sf_dir))
+    return reduce(DataFrame.unionByName, [_values_of(spark.read.parquet(f"{output}/{t.name}"), t.name) for t in TABLES])
+
+
+def _values_of(rows: DataFrame, name: str) -> DataFrame:
+    shown = rows.withColumn("block_timestamp", F.unix_micros("block_timestamp"))
+    values = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in rows.columns if c != "transaction_hash"]
+    return shown.select(F.lit(name).alias("table"), "transaction_hash", F.inline(F.array(*values)))
+
+
+def pipeline_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A part of the range, then all of it twice, each time only what is not there yet."""
+    source, output = _raw_dataset(spark, sf_dir), scratch_path(spark)
+    days = _full_range(spark, sf_dir)
+    for first, last in (RANGE, days, days):
+        run(spark, source, output, first, last, mode="append_new")
+    return _written(spark, output)
+
+
+def pipeline_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published states: a replaced range, then what is new in all of it, read at the last version."""
+    source, output = _raw_dataset(spark, sf_dir), scratch_path(spark)
+    days = _full_range(spark, sf_dir)
+    for first, last, mode in ((*RANGE, "append"), (*RANGE, "overwrite_partitions"), (*days, "append_new"), (*days, "append_new")):
+        run(spark, source, output, first, last, mode=mode, layout="snapshots")
+    return _counted({name: read_published(spark, output, name) for name in [t.name for t in TABLES] + ["dead_letter"]})
+
+
+def pipeline_empty_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of one event alone: of the tables, only those with rows are there to be counted."""
+    source, output = scratch_path(spark), scratch_path(spark)
+    logs = event_logs(spark, sf_dir).where(F.get("topics", F.lit(0)) == MINT)
+    logs.hint("rebalance", F.col("date")).write.partitionBy("date").parquet(source)
+    run(spark, source, output, *_full_range(spark, sf_dir))
+    return _written(spark, output)
+
+
+def decode_repeated_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A definition with a name in topics and data."""
+    twice = replace(reg.aave.DEPOSIT_V2, data_fields=(("reserve", "address"), ("amount", "uint256")))
+    one = Registry((((POOL_V2, (twice,)),),))
+    decoded = decoded_logs(decode_logs(filter_logs(event_logs(spark, sf_dir), one), one))
+    return decoded.select("block_number", F.explode("decoded").alias("name", "value"))
+
+
 def added_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deposits decoded with one more protocol in front of the others, shaped without naming it."""
     extra = Registry((((NEW_CONTRACT, (replace(DEFAULT.definitions[0], version="new"),)),), *DEFAULT.protocols))
@@ -271,6 +340,7 @@ def deposit_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "logs_date_range": logs_date_range,
     "logs_known": logs_known,
+    "logs_known_spellings": logs_known_spellings,
     "route_usage": route_usage,
     "contract_usage": contract_usage,
     "word_values": word_values,
@@ -286,6 +356,12 @@ QUERIES = {
     "pipeline_values": pipeline_values,
     "pipeline_letters": pipeline_letters,
     "pipeline_text_types": pipeline_text_types,
+    "pipeline_mixed_types": pipeline_mixed_types,
+    "pipeline_tables": pipeline_tables,
+    "pipeline_append_new": pipeline_append_new,
+    "pipeline_snapshots": pipeline_snapshots,
+    "pipeline_empty_tables": pipeline_empty_tables,
+    "decode_repeated_names": decode_repeated_names,
     "added_protocol": added_protocol,
     "deposit_totals": deposit_totals,
 }
@@ -300,6 +376,7 @@ def oracle_queries() -> dict[str, str]:
     sql = {
         "logs_date_range": oracle.logs_date_range(*map(str, RANGE)),
         "logs_known": oracle.logs_known(),
+        "logs_known_spellings": oracle.logs_known(),
         "route_usage": oracle.route_usage(),
         "contract_usage": oracle.contract_usage(),
         "word_values": oracle.word_values(),
@@ -315,6 +392,12 @@ def oracle_queries() -> dict[str, str]:
         "pipeline_values": oracle.shaped("liquidationcall"),
         "pipeline_letters": oracle.dead_letter(),
         "pipeline_text_types": oracle.shaped("deposit"),
+        "pipeline_mixed_types": oracle.shaped("deposit"),
+        "pipeline_tables": oracle.all_shaped(),
+        "pipeline_append_new": written,
+        "pipeline_snapshots": written,
+        "pipeline_empty_tables": oracle.mint_counts(),
+        "decode_repeated_names": oracle.repeated_names(),
         "added_protocol": oracle.shaped("deposit"),
         "deposit_totals": oracle.deposit_totals(),
     }
