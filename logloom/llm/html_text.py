@@ -13,7 +13,7 @@ threshold, the region of the largest sum is taken, so that a short page is not l
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by an empty line.
 Null, empty and markup-only pages give the empty text. Equal rows are extracted each on their own; an empty table
-gives no rows; other columns are ignored. Work is linear in a page's length and pages are independent.
+gives no rows; other columns are ignored. Work is linear in a page's length, unclosed tags and quotes included, and pages are independent.
 """
 
 from __future__ import annotations
@@ -34,8 +34,10 @@ SURGE = 86
 #: Lines of links alone that a region may hold in a row.
 DIVE = 6
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
-_ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_START = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*+\"|'[^']*+'|[^'\">]++)*+)>")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*+)>")
+_ATTRIBUTE = re.compile(r"(?<![a-zA-Z_:-])([a-zA-Z_:-]++)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _VALUE = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 #: Elements whose content is no markup and never shown.
 _RAW = {"script", "style", "textarea", "title", "template", "iframe"}
@@ -147,6 +149,39 @@ def _places(elements: list[Element]) -> list[tuple[bool, bool]]:
     return places
 
 
+class Markup:
+    """Finds a page's markup from left to right, in time linear in the page whatever its faults.
+
+    A tag ends at the first ``>`` outside quotes. Where a quote is never closed, quotes count no more from there on, and what
+    is not closed before the next ``<`` is text. So is what no ``>`` follows, except for a comment.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last, self.pattern = page, page.rfind(">"), _TAG
+
+    def after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(first, end, slash, name, attributes) of the next piece of markup; comments and declarations have no name."""
+        page = self.page
+        while start := _START.search(page, at):
+            first = start.start()
+            if start[0] == "<!--":
+                end = page.find("-->", first + 4)
+                return first, len(page) if end < 0 else end + 3, "", "", ""
+            if first > self.last:
+                at = start.end()
+                continue
+            if start[0] in ("<!", "<?"):
+                return first, page.index(">", first) + 1, "", "", ""
+            tag = self.pattern.match(page, first)
+            if tag is None:
+                self.pattern = _PLAIN_TAG
+                tag = self.pattern.match(page, first)
+            if tag:
+                return first, tag.end(), tag[1], tag[2], tag[3]
+            at = start.end()
+        return None
+
+
 def lines_of(page: str) -> list[Line]:
     """The page's lines in order, empty ones in place of those that are set aside."""
     found: list[tuple[str, int, int]] = []  # text, length, element
@@ -181,21 +216,20 @@ def lines_of(page: str) -> list[Line]:
             if name in within:
                 return
 
-    at = 0
+    at, markup = 0, Markup(page)
     while at < len(page):
-        token = _TOKEN.search(page, at)
-        text = page[at : token.start() if token else len(page)]
+        token = markup.after(at)
+        text = page[at : token[0] if token else len(page)]
         if text:
             parts.append(text)
             if not links:
                 text_length += len(text.strip())
         if token is None:
             break
-        at = token.end()
-        name = (token[2] or "").lower()
+        _, at, closing, name, attributes = token
+        name = name.lower()
         if not name:
             continue
-        closing, attributes = bool(token[1]), token[3] or ""
         if opened["head"] and not closing and name not in _HEAD and name not in _RAW:
             end_line()
             close({"head"})

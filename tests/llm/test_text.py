@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -256,6 +257,29 @@ def test_long_page_takes_linear_time():
     assert html_text.main_text(page).count("word") == 120_000
 
 
+@pytest.mark.parametrize(
+    "page", ["<a " * 100_000, "</p <" * 100_000, '<a ">"' * 100_000, '<div class="' * 100_000, "<div " + "a" * 300_000 + ">", "<!" * 100_000, "<!--" * 100_000, "<p>" * 50_000, "<li><div>" * 20_000, "<div ='" * 100_000 + ">"]
+)
+def test_malformed_pages_take_linear_time(page):
+    began = time.process_time()
+    html_text.main_text("<p>before</p>" + page)
+    assert time.process_time() - began < 2
+
+
+@pytest.mark.parametrize(
+    "page,expected",
+    [
+        ("<p>one</p> tail <a href", "one\n\ntail <a href"),
+        ("<p>one <b x='y>two</b> three</p>", "one two three"),
+        ("<p>one</p><p>5 <a\" or so</p><p>six</p>", "one\n\n5 <a\" or so\n\nsix"),
+        ("<p>one</p>end <x <!-- never closed", "one\n\nend <x"),
+        ('<p title="a > b">one</p>', "one"),
+    ],
+)
+def test_unclosed_markup(page, expected):
+    assert html_text.main_text(page) == expected
+
+
 def test_isotonic():
     assert quality_classifier.isotonic(np.array([1.0, 3.0, 2.0, 4.0]), np.ones(4)).tolist() == [1, 2.5, 2.5, 4]
     assert quality_classifier.isotonic(np.array([3.0, 1.0]), np.array([1.0, 3.0])).tolist() == [1.5, 1.5]
