@@ -15,7 +15,7 @@ else, in the same document too, are removed; the first occurrence is no exceptio
 
 A passage in very many documents is counted before it is shuffled, and the join of places is on window hashes,
 where adaptive execution splits large partitions. Null and empty texts have no words. Equal rows count as two
-documents, so their windows recur. Empty tables give no rows. Other columns are ignored.
+documents, so their windows recur; their places are gathered once for all of them, before and after the shuffle. Empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -196,7 +196,8 @@ def remove_recurring(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     confirmed = staged(recurring_windows(keyed, anchors, window))
     found = _places(keyed, anchors, broadcast_filter(confirmed.select("key")), window)
     packed = F.expr("shiftleft(cast(start AS bigint), 32) | (cast(check AS bigint) & 4294967295)")
-    places = found.join(confirmed, ["key", "check"]).groupBy("row_key").agg(F.collect_list(packed).alias("places"))
+    # equal rows share a key and list the same places: a set is as long as one row's list, however many they are
+    places = found.join(confirmed, ["key", "check"]).groupBy("row_key").agg(F.collect_set(packed).alias("places"))
     joined = keyed.join(places, "row_key", "left").select("doc_id", "text", "places")
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
