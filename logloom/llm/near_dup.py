@@ -147,9 +147,14 @@ def _sets_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     keep = broadcast_filter(nodes.select("row_key"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # of the task's rows that pass; equal ones count once
         for batch in batches:
             keys = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            batch = batch.filter(pa.array(keep.value.may_have(keys)))
+            passed = np.flatnonzero(keep.value.may_have(keys))
+            _, first = np.unique(keys[passed], return_index=True)
+            chosen = [i for i in np.sort(passed[first]).tolist() if int(keys[i]) not in seen]
+            seen.update(keys[chosen].tolist())
+            batch = batch.take(pa.array(chosen, pa.int64()))
             for chunk in chunks(batch.column(2), NOT_WHITE, fold=True):
                 hashes, bounds = shingle_sets(chunk)
                 rows = batch.slice(chunk.first, chunk.n_docs)
@@ -157,9 +162,8 @@ def _sets_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([rows.column(1), pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in own], pa.binary()), pa.array(own, pa.binary())], names=["row_key", "node", "shingles"])
 
     found = _keyed(documents).mapInArrow(sets, "row_key long, node binary, shingles binary")
-    # equal sets of other rows pass the filter only by chance; one row a node is enough
-    wanted = nodes.select(F.col("node").alias("wanted"), F.col("row_key").alias("wanted_key"))
-    return found.join(wanted, (F.col("node") == F.col("wanted")) & (F.col("row_key") == F.col("wanted_key"))).select("node", "shingles")
+    # equal sets of other rows pass the filter only by chance, equal rows of other tasks always do: one row a node is enough
+    return found.join(nodes.select("node", "row_key"), ["node", "row_key"]).dropDuplicates(["node", "row_key"]).select("node", "shingles")
 
 
 def confirmed(documents: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -374,7 +378,8 @@ def without_near_duplicates(documents: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     has_words = F.coalesce(text.rlike("[^ \\t-\\r]"), F.lit(False))
     kept = documents.where(has_words).select(row.alias("row"), F.xxhash64("doc_id", text).alias("key")).join(staged(chosen), "key", "left_semi")
-    kept = kept.groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    # rows that share a key by chance alone are both chosen, so they are told apart here
+    kept = kept.groupBy("key", "row.doc_id", F.md5(F.col("row.text").cast("string"))).agg(F.first("row").alias("row")).select("row.*")
     empty = documents.where(~has_words)
     named = empty.where("doc_id is not null").groupBy("doc_id", F.md5(F.to_json(row)).alias("digest")).agg(F.first(row).alias("row")).select("row.*")
     return kept.unionAll(named).unionAll(empty.where("doc_id is null"))

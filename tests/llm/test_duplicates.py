@@ -2,6 +2,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from logloom.llm import decontamination, near_dup, phrase_dedup
 from logloom.llm.bit_filter import broadcast_filter
@@ -155,3 +156,27 @@ def test_empty_tables(spark, documents, no_documents):
     assert decontamination.find_hits(documents, none).where("n_hit > 0").count() == 0
     assert Counter(decontamination.decontaminate(documents, none).collect()) == Counter(documents.collect())
 
+
+
+@pytest.fixture(scope="module")
+def equal_rows(spark):
+    """4,000 equal rows without an id, over several partitions, and a near text with an id."""
+    words = prose(21, 400)
+    near = " ".join(words[:200] + ["zz"] + words[201:])
+    rows = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(" ".join(words)).alias("text"))
+    return rows.union(spark.createDataFrame([(5, near), (6, "alone here")], "doc_id long, text string")).repartition(7).cache(), " ".join(words), near
+
+
+def test_many_equal_rows_are_one_set(equal_rows):
+    rows, text, _ = equal_rows
+    signed = near_dup.signatures(rows).where("node is not null").groupBy("node").agg(F.min("row_key").alias("row_key"))
+    assert near_dup._sets_of(rows, signed).count() == 3
+    found = near_dup.near_duplicates(rows).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert {tuple(r) for r in found} == {(None, 5, False, 4000), (5, 5, True, 1), (6, 6, True, 1)}
+    assert sorted(r["doc_id"] for r in near_dup.without_near_duplicates(rows).collect()) == [5, 6]
+
+
+def test_many_equal_rows_recur(equal_rows):
+    rows, text, near = equal_rows
+    found = phrase_dedup.remove_recurring(rows).groupBy("doc_id", "n_words", "n_removed", "text").count().collect()
+    assert {tuple(r) for r in found} == {(None, 400, 400, "", 4000), (5, 400, 399, "zz", 1), (6, 2, 0, "alone here", 1)}
