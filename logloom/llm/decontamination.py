@@ -2,8 +2,9 @@
 
 The benchmark's normalised windows are hashed. Each task keeps that set as a bit table and a sorted array,
 hashes the windows of whole documents with numpy, looks them up and compares the words of every hit. The
-document side is never shuffled. The broadcast is bounded: windows come in blocks of about
-``windows_per_block``; a larger benchmark takes more blocks, each one a further narrow pass over the same rows.
+document side is never shuffled. The broadcast is bounded: windows come in blocks of about ``windows_per_block``, and a
+stage holds ``BLOCKS_PER_STAGE`` of them at most. A larger benchmark takes more blocks, each one a further narrow pass over
+the same rows, with the rows written to the shared folder and the blocks given up between stages.
 
 A window is ``n`` consecutive words of an item; an item with fewer words, but not none, is one window.
 Null texts have no words. An item with a null id counts for hits but not among the items. Repeated rows on
@@ -26,6 +27,7 @@ from logloom.llm.words import ALNUM, chunks, gram_hashes, spans_union, split_wor
 
 WINDOW = 13
 WINDOWS_PER_BLOCK = 200_000
+BLOCKS_PER_STAGE = 4
 
 _SPAN = "array<struct<first:int,last:int>>"
 
@@ -111,10 +113,16 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, n: int = WINDOW, windo
     out = documents.drop("n_words", "n_hit", "hit_spans", "hit_items").withColumns(
         {"n_words": F.lit(0).cast("long"), "hit_spans": F.array().cast(_SPAN), "hit_items": F.array().cast("array<string>")}
     )
+    held = []
     for block in range(blocks):
+        if len(held) == BLOCKS_PER_STAGE:
+            out = staged(out)
+            for shared in held:
+                shared.destroy()
+            held = []
         rows = windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block).select("words", "size", "item_ids")
-        shared = spark.sparkContext.broadcast(_WindowSet([tuple(r) for r in rows.collect()]))
-        out = _with_block(out, shared)
+        held.append(spark.sparkContext.broadcast(_WindowSet([tuple(r) for r in rows.collect()])))
+        out = _with_block(out, held[-1])
     merged = F.aggregate(
         F.array_sort("hit_spans"),
         F.array().cast(_SPAN),

@@ -133,6 +133,19 @@ def test_decontamination(spark, documents, block):
         assert sum(s["last"] - s["first"] + 1 for s in r["hit_spans"]) == n_hit
 
 
+def test_blocks_alive_are_bounded(spark, documents, monkeypatch):
+    """A benchmark of many blocks: all but those of the last stage are given up before the rows are asked for."""
+    benchmark = spark.createDataFrame([(f"i{k}", " ".join(prose(100 + k, 24, 5_000))) for k in range(20)] + [("long", " ".join(prose(7, 30_000, 5_000)[100:200]))], "item_id string, text string")
+    expected = sorted(map(str, decontamination.find_hits(documents, benchmark).select("doc_id", "n_words", "n_hit", "hit_items").collect()))
+    held, with_block = [], decontamination._with_block
+    monkeypatch.setattr(decontamination, "_with_block", lambda rows, shared: held.append(shared) or with_block(rows, shared))
+    found = decontamination.find_hits(documents, benchmark, windows_per_block=17)
+    alive = [shared._jbroadcast.isValid() for shared in held]
+    assert len(held) > 16 and sum(alive) <= decontamination.BLOCKS_PER_STAGE and not any(alive[: -decontamination.BLOCKS_PER_STAGE])
+    assert sorted(map(str, found.select("doc_id", "n_words", "n_hit", "hit_items").collect())) == expected
+    assert found.where("n_hit > 0").count() > 0
+
+
 def test_contaminated_documents_go(spark, documents):
     passage = prose(3, 60)
     rows = [(1, " ".join(passage[10:40]))]
