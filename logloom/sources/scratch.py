@@ -119,6 +119,12 @@ def dated_folders(spark: SparkSession, path: str, start: date, end: date) -> dic
     return found
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Has ``path`` deleted when the application ends: what reads it may come at any time until then."""
+    fs, target = _file_system(spark, path)
+    fs.deleteOnExit(target)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
