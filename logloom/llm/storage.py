@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logloom.sources.scratch import scratch_path
+from logloom.sources.scratch import delete_at_exit, scratch_path
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +17,12 @@ def staged(df: DataFrame, tasks: int | None = None, codec: str = "snappy") -> Da
     """``df`` written once as Parquet and read again; by ``tasks`` tasks, where many would write little each.
 
     It cuts the lineage: a lost executor costs a task that rereads the file, not the work that made it.
-    The folder comes from ``spark.checkpoint.dir``.
+    The folder comes from ``spark.checkpoint.dir``; what is written there goes when the application ends, since a
+    result that reads it may be asked for until then.
     """
     spark = df.sparkSession
     path = scratch_path(spark)
+    delete_at_exit(spark, path)
     (df.coalesce(tasks) if tasks else df).write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
