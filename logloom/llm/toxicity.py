@@ -9,10 +9,10 @@ Landmarks are the units that most mark toxic training documents, and common ones
 map sends a unit to the inverse square root of the landmarks' kernel matrix times its kernel values; a linear
 support vector machine (squared hinge) is fitted there on labelled sentences. A sentence is represented by the
 unit that most marks toxic documents; a toxic document's sentences without such a unit are not used, for they may
-be clean.
+be clean. The machine is fitted again with the clean sentences represented by the units that it took most for toxic.
 The fitted function is linear in the kernel, so it folds into one weight per subsequence, and scoring a unit is a
 sum over its subsequences, whatever the number of landmarks. A document's best units give its probability, by a
-logistic function fitted on the training documents.
+logistic function fitted on the training documents; its length has no part in it.
 
 The machine is fitted on at most ``MOST_DOCUMENTS`` labelled documents of each kind, in the order of a hash of the
 id: a documented bound. Every document is scored on its whole text. Null and empty texts have no units and get the
@@ -23,13 +23,13 @@ columns are ignored.
 from __future__ import annotations
 
 import re
-import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +49,9 @@ RIDGE = 1.0
 CACHE_UNITS = 300_000
 UNITS_AT_ONCE = 100_000
 BEST = 4
+#: Times that the machine is fitted again on the clean units that it took most for toxic.
+HARD_ROUNDS = 2
+UNITS_MAPPED = 5_000
 LONGEST_UNIT = 40
 
 _CLASSES = 64
@@ -73,6 +76,11 @@ def units_of(text: str) -> list[str]:
     return units
 
 
+def _identity(text: str) -> int:
+    """Of a context or sentence, as a long."""
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - 2**63
+
+
 def sentences_of(text: str) -> list[list[str]]:
     return [units for part in _SENTENCE_END.split(text) if (units := sorted(set(units_of(part))))]
 
@@ -171,13 +179,12 @@ class ToxicityModel:
     def evidence(self, unit_lists: list[list[str]]) -> np.ndarray:
         """Of each document: its best distinct units' margins, and how many are above zero, as a row."""
         margins = iter(self.margins([u for units in unit_lists for u in units]))
-        rows = np.full((len(unit_lists), BEST + 2), -2.0)
+        rows = np.full((len(unit_lists), BEST + 1), -2.0)
         for row, units in zip(rows, unit_lists):
             values = np.fromiter((next(margins) for _ in units), dtype=float, count=len(units))
             top = np.sort(np.partition(values, -BEST)[-BEST:] if len(values) > BEST else values)[::-1]
             row[: len(top)] = np.clip(top, -2, 2)
             row[BEST] = np.log1p((values > 0).sum())
-            row[BEST + 1] = np.log1p(len(units)) / 5
         return rows
 
     def score(self, rows: np.ndarray) -> np.ndarray:
@@ -256,7 +263,7 @@ def marking_units(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
             for text, label in zip(batch["text"], batch["label"]):
                 units = units_of(text)
                 for before, unit, after in zip(["", *units], units, [*units[1:], ""]):
-                    found.add((unit, zlib.crc32(f"{before} {after}".encode("utf-8", "replace")), int(label)))
+                    found.add((unit, _identity(f"{before} {after}"), int(label)))
             yield pd.DataFrame(list(found), columns=["unit", "context", "label"])
 
     contexts = sample.mapInPandas(listed, "unit string, context long, label int").distinct()
@@ -273,21 +280,36 @@ def marking_units(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
     return {r["unit"]: r["mark"] for r in toxic}, [r["unit"] for r in clean]
 
 
-def labelled_sentences(sample: DataFrame, marks: dict[str, float]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(units, labels, counts): the unit that represents a sentence, over the sample's distinct sentences.
+Rater = Callable[[list[str]], list[float]]
+
+
+@dataclass
+class Marks:
+    """Rates units by their marks; those without one stand below all others."""
+
+    marks: dict[str, float]
 
-    Of a clean document, ``MARKED_SENTENCES`` with the strongest marks count, and of the others every ``OTHER_STRIDE``-th, up to
-    ``OTHER_SENTENCES``.
+    def __call__(self, units: list[str]) -> list[float]:
+        return [self.marks.get(u, -1.0) for u in units]
+
+
+def labelled_sentences(sample: DataFrame, rate: Rater) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(units, labels, counts): the best rated unit represents a sentence, over the sample's distinct sentences.
+
+    Of a clean document, the ``MARKED_SENTENCES`` best rated count, and of the others every ``OTHER_STRIDE``-th, up to
+    ``OTHER_SENTENCES``. Of a toxic document, those rated above zero.
     """
-    shared = sample.sparkSession.sparkContext.broadcast(marks)
+    shared = sample.sparkSession.sparkContext.broadcast(rate)
 
     def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = set()
             for text, label in zip(batch["text"], batch["label"]):
-                best = sorted(((*max((shared.value.get(u, -1.0), u) for u in units), zlib.crc32(" ".join(units).encode("utf-8", "replace"))) for units in sentences_of(text)), reverse=True)
-                for mark, unit, sentence in best if label else best[:MARKED_SENTENCES] + best[MARKED_SENTENCES::OTHER_STRIDE][:OTHER_SENTENCES]:
-                    if mark > 0 or not label:
+                sentences = sentences_of(text)
+                ratings = iter(shared.value([u for units in sentences for u in units]))
+                best = sorted(((*max((next(ratings), u) for u in units), _identity(" ".join(units))) for units in sentences), reverse=True)
+                for rating, unit, sentence in best if label else best[:MARKED_SENTENCES] + best[MARKED_SENTENCES::OTHER_STRIDE][:OTHER_SENTENCES]:
+                    if rating > 0 or not label:
                         found.add((unit, int(label), sentence))
             yield pd.DataFrame(list(found), columns=["unit", "label", "sentence"])
 
@@ -295,6 +317,14 @@ def labelled_sentences(sample: DataFrame, marks: dict[str, float]) -> tuple[list
     return [r["unit"] for r in rows], np.array([1.0 if r["label"] else -1.0 for r in rows]), np.array([r["n"] for r in rows])
 
 
+def _machine(units: list[str], y: np.ndarray, weight: np.ndarray, table: LandmarkTable, root: np.ndarray) -> ToxicityModel:
+    """The machine fitted on units with labels; both kinds weigh the same."""
+    total = {kind: weight[y == kind].sum() for kind in (-1, 1)}
+    mapped = [features(units[k : k + UNITS_MAPPED], table) @ root for k in range(0, len(units), UNITS_MAPPED)]
+    w = _support_vectors(np.vstack(mapped), y, weight / np.where(y > 0, total[1], total[-1]))
+    return ToxicityModel(table.folded(root @ w[:-1]), float(w[-1]))
+
+
 def fit(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     sample = staged(training_sample(documents, labels))
     marks, clean = marking_units(sample)
@@ -307,11 +337,13 @@ def fit(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     values, vectors = np.linalg.eigh((kernel + kernel.T) / 2)
     keep = values > 1e-3 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    units, y, weight = labelled_sentences(sample, marks)
-    for kind in (-1, 1):
-        weight[y == kind] /= weight[y == kind].sum()
-    w = _support_vectors(features(units, table) @ root, y, weight)
-    model = ToxicityModel(table.folded(root @ w[:-1]), float(w[-1]))
+    units, y, weight = labelled_sentences(sample, Marks(marks))
+    model = _machine(units, y, weight, table, root)
+    clean_sample = sample.where("label = 0")
+    for _ in range(HARD_ROUNDS):
+        hard, hard_y, hard_weight = labelled_sentences(clean_sample, model.margins)
+        units, y, weight = units + hard, np.concatenate([y, hard_y]), np.concatenate([weight, hard_weight])
+        model = _machine(units, y, weight, table, root)
     model.logistic = _fit_logistic(sample, model)
     return model
 
