@@ -9,7 +9,7 @@ Landmarks are the units that most mark toxic training documents, and common ones
 map sends a unit to the inverse square root of the landmarks' kernel matrix times its kernel values; a linear
 support vector machine (squared hinge) is fitted there on labelled sentences. A sentence is represented by the
 unit that most marks toxic documents; a toxic document's sentences without such a unit are not used, for they may
-be clean. The machine is fitted again with the clean sentences represented by the units that it took most for toxic.
+be clean. The machine is fitted again with the clean sentences represented by the units that it took most for toxic, the worst of them as landmarks, too.
 The fitted function is linear in the kernel, so it folds into one weight per subsequence, and scoring a unit is a
 sum over its subsequences, whatever the number of landmarks. A document's best units give its probability, by a
 logistic function fitted on the training documents; its length has no part in it.
@@ -23,6 +23,7 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -51,6 +52,8 @@ UNITS_AT_ONCE = 100_000
 BEST = 4
 #: Times that the machine is fitted again on the clean units that it took most for toxic.
 HARD_ROUNDS = 2
+#: Landmarks added at each of these.
+HARD_LANDMARKS = 64
 UNITS_MAPPED = 5_000
 LONGEST_UNIT = 40
 
@@ -207,7 +210,7 @@ class ToxicityModel:
 
 def _support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
     """Weights and bias of the linear machine with a squared hinge, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
     w = np.zeros(x.shape[1])
     penalty = ridge * np.eye(len(w))
     penalty[-1, -1] = 1e-6
@@ -293,8 +296,8 @@ class Marks:
         return [self.marks.get(u, -1.0) for u in units]
 
 
-def labelled_sentences(sample: DataFrame, rate: Rater) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(units, labels, counts): the best rated unit represents a sentence, over the sample's distinct sentences.
+def labelled_sentences(sample: DataFrame, rate: Rater) -> dict[tuple[str, int], float]:
+    """(unit, label) with counts: the best rated unit represents a sentence, over the sample's distinct sentences.
 
     Of a clean document, the ``MARKED_SENTENCES`` best rated count, and of the others every ``OTHER_STRIDE``-th, up to
     ``OTHER_SENTENCES``. Of a toxic document, those rated above zero.
@@ -314,14 +317,22 @@ def labelled_sentences(sample: DataFrame, rate: Rater) -> tuple[list[str], np.nd
             yield pd.DataFrame(list(found), columns=["unit", "label", "sentence"])
 
     rows = sample.mapInPandas(chosen, "unit string, label int, sentence long").distinct().groupBy("unit", "label").agg(F.count("*").cast("double").alias("n")).collect()
-    return [r["unit"] for r in rows], np.array([1.0 if r["label"] else -1.0 for r in rows]), np.array([r["n"] for r in rows])
+    return {(r["unit"], r["label"]): r["n"] for r in rows}
 
 
-def _machine(units: list[str], y: np.ndarray, weight: np.ndarray, table: LandmarkTable, root: np.ndarray) -> ToxicityModel:
-    """The machine fitted on units with labels; both kinds weigh the same."""
-    total = {kind: weight[y == kind].sum() for kind in (-1, 1)}
-    mapped = [features(units[k : k + UNITS_MAPPED], table) @ root for k in range(0, len(units), UNITS_MAPPED)]
-    w = _support_vectors(np.vstack(mapped), y, weight / np.where(y > 0, total[1], total[-1]))
+def _machine(landmarks: list[str], examples: dict[tuple[str, int], float]) -> ToxicityModel:
+    """The machine fitted on (unit, label) with their numbers; both kinds weigh the same."""
+    table = landmark_table(landmarks)
+    kernel = features(landmarks, table)
+    values, vectors = np.linalg.eigh((kernel + kernel.T) / 2)
+    keep = values > 1e-3 * values.max()
+    root = vectors[:, keep] / np.sqrt(values[keep])
+    units = [unit for unit, _ in examples]
+    y = np.array([1.0 if label else -1.0 for _, label in examples])
+    weight = np.array(list(examples.values()))
+    weight = weight / np.where(y > 0, weight[y > 0].sum(), weight[y < 0].sum())
+    mapped = [(features(units[k : k + UNITS_MAPPED], table) @ root).astype(np.float32) for k in range(0, len(units), UNITS_MAPPED)]
+    w = _support_vectors(np.vstack(mapped), y, weight)
     return ToxicityModel(table.folded(root @ w[:-1]), float(w[-1]))
 
 
@@ -332,18 +343,16 @@ def fit(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     if not marks:
         return model
     landmarks = list(dict.fromkeys([*marks][:TOXIC_LANDMARKS] + clean))
-    table = landmark_table(landmarks)
-    kernel = features(landmarks, table)
-    values, vectors = np.linalg.eigh((kernel + kernel.T) / 2)
-    keep = values > 1e-3 * values.max()
-    root = vectors[:, keep] / np.sqrt(values[keep])
-    units, y, weight = labelled_sentences(sample, Marks(marks))
-    model = _machine(units, y, weight, table, root)
+    examples = Counter(labelled_sentences(sample, Marks(marks)))
+    model = _machine(landmarks, examples)
     clean_sample = sample.where("label = 0")
     for _ in range(HARD_ROUNDS):
-        hard, hard_y, hard_weight = labelled_sentences(clean_sample, model.margins)
-        units, y, weight = units + hard, np.concatenate([y, hard_y]), np.concatenate([weight, hard_weight])
-        model = _machine(units, y, weight, table, root)
+        hard = labelled_sentences(clean_sample, model.margins)
+        examples.update(hard)
+        units = [unit for unit, _ in hard]
+        worst = sorted(zip(model.margins(units), units), reverse=True)[:HARD_LANDMARKS]
+        landmarks = list(dict.fromkeys([*landmarks, *(unit for _, unit in worst)]))
+        model = _machine(landmarks, examples)
     model.logistic = _fit_logistic(sample, model)
     return model
 
