@@ -12,7 +12,8 @@ unit that most marks toxic documents; a toxic document's sentences without such
 be clean. The machine is fitted again with the clean sentences represented by the units that it took most for toxic, the worst of them as landmarks, too.
 The fitted function is linear in the kernel, so it folds into one weight per subsequence, and scoring a unit is a
 sum over its subsequences, whatever the number of landmarks. A document's best units give its probability, by a
-logistic function fitted on the training documents; its length has no part in it.
+logistic function fitted on the training documents, which weighs both kinds as often as they are among all labels; a
+document's length has no part in it.
 
 The machine is fitted on at most ``MOST_DOCUMENTS`` labelled documents of each kind, in the order of a hash of the
 id: a documented bound. Every document is scored on its whole text. Null and empty texts have no units and get the
@@ -225,12 +226,14 @@ def _support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: fl
     return w
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, toxic_share: float) -> np.ndarray:
+    """Weights and constant; the toxic rows weigh as much of all as they are of all labels."""
     x = np.hstack([x, np.ones((len(x), 1))])
+    weight = np.where(y > 0, toxic_share / max(y.mean(), 1e-9), (1 - toxic_share) / max(1 - y.mean(), 1e-9))
     w = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-1 * np.eye(len(w)), x.T @ (p - y) + 1e-1 * w)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + 1e-1 * np.eye(len(w)), x.T @ (weight * (p - y)) + 1e-1 * w)
         w = w - step
         if np.abs(step).max() < 1e-6:
             break
@@ -296,7 +299,7 @@ class Marks:
         return [self.marks.get(u, -1.0) for u in units]
 
 
-def labelled_sentences(sample: DataFrame, rate: Rater) -> dict[tuple[str, int], float]:
+def rated_sentences(sample: DataFrame, rate: Rater) -> dict[tuple[str, int], float]:
     """(unit, label) with counts: the best rated unit represents a sentence, over the sample's distinct sentences.
 
     Of a clean document, the ``MARKED_SENTENCES`` best rated count, and of the others every ``OTHER_STRIDE``-th, up to
@@ -320,6 +323,12 @@ def labelled_sentences(sample: DataFrame, rate: Rater) -> dict[tuple[str, int],
     return {(r["unit"], r["label"]): r["n"] for r in rows}
 
 
+def labelled_sentences(sample: DataFrame, marks: dict[str, float]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(units, labels, counts) of ``rated_sentences`` by marks; labels are 1 and -1."""
+    found = rated_sentences(sample, Marks(marks))
+    return [unit for unit, _ in found], np.array([1.0 if label else -1.0 for _, label in found]), np.array(list(found.values()))
+
+
 def _machine(landmarks: list[str], examples: dict[tuple[str, int], float]) -> ToxicityModel:
     """The machine fitted on (unit, label) with their numbers; both kinds weigh the same."""
     table = landmark_table(landmarks)
@@ -343,21 +352,22 @@ def fit(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     if not marks:
         return model
     landmarks = list(dict.fromkeys([*marks][:TOXIC_LANDMARKS] + clean))
-    examples = Counter(labelled_sentences(sample, Marks(marks)))
+    examples = Counter(rated_sentences(sample, Marks(marks)))
     model = _machine(landmarks, examples)
     clean_sample = sample.where("label = 0")
     for _ in range(HARD_ROUNDS):
-        hard = labelled_sentences(clean_sample, model.margins)
+        hard = rated_sentences(clean_sample, model.margins)
         examples.update(hard)
         units = [unit for unit, _ in hard]
         worst = sorted(zip(model.margins(units), units), reverse=True)[:HARD_LANDMARKS]
         landmarks = list(dict.fromkeys([*landmarks, *(unit for _, unit in worst)]))
         model = _machine(landmarks, examples)
-    model.logistic = _fit_logistic(sample, model)
+    toxic_share = labels.where("doc_id is not null").agg(F.avg(F.col("label").cast("int"))).first()[0]
+    model.logistic = _fit_logistic(sample, model, float(toxic_share))
     return model
 
 
-def _fit_logistic(sample: DataFrame, model: ToxicityModel) -> np.ndarray:
+def _fit_logistic(sample: DataFrame, model: ToxicityModel, toxic_share: float) -> np.ndarray:
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -366,7 +376,7 @@ def _fit_logistic(sample: DataFrame, model: ToxicityModel) -> np.ndarray:
             yield pd.DataFrame({"x": list(evidence), "label": batch["label"]})
 
     found = sample.mapInPandas(rows, "x array<double>, label int").collect()
-    return _logistic(np.array([r["x"] for r in found]), np.array([float(r["label"]) for r in found]))
+    return _logistic(np.array([r["x"] for r in found]), np.array([float(r["label"]) for r in found]), toxic_share)
 
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -356,3 +356,30 @@ def test_sentences_of_clean_documents_are_counted_by_the_named_numbers(spark, mo
     monkeypatch.setattr(toxicity, "MARKED_SENTENCES", 3)
     monkeypatch.setattr(toxicity, "OTHER_STRIDE", 60)
     assert toxicity.labelled_sentences(rows, {})[2].sum() == 3 + 2
+
+
+def test_length_does_not_hide_insults(spark):
+    rows, words = [], [w for w in dict.fromkeys(prose(40, 60_000, 4_000)) if len(w) > 2]
+    rng = random.Random(41)
+    for i in range(300):
+        text = rng.sample(words, rng.choice((20, 200, 1500)))
+        if i % 3 == 0:
+            for insult in rng.sample(["idiot", "moron", "loser", "scumbag", "clown"], 3):
+                text[rng.randrange(len(text))] = insult
+        rows.append((i, " ".join(w + ("." if k % 9 == 8 else "") for k, w in enumerate(text)), int(i % 3 == 0)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = toxicity.fit(documents, documents.select("doc_id", "label"))
+    for n in (20, 200, 2_300):
+        clean = rng.sample(words, n)
+        toxic = clean[:10] + ["idiot"] + clean[10:15] + ["moron", "loser"] + clean[15:]
+        assert model.scores([" ".join(toxic)])[0] >= 0.5 > model.scores([" ".join(clean)])[0]
+
+
+def test_share_of_labels_sets_the_constant():
+    """A sample with as many of both kinds gives what the labels in full would."""
+    rng = np.random.default_rng(0)
+    x, y = rng.normal(size=(4_000, 1)), np.repeat([1.0, 0.0], [400, 3_600])
+    x[:400] += 1.5
+    even = np.concatenate([np.arange(400), 400 + np.arange(400)])
+    full, weighed = toxicity._logistic(x, y, 0.1), toxicity._logistic(x[even], y[even], 0.1)
+    assert np.abs(full - weighed).max() < 0.35 < np.abs(full - toxicity._logistic(x[even], y[even], 0.5)).max()
