@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from logloom.llm import decontamination, fill_in_middle, license_scan, line_dedup, near_dup, phrase_dedup, source_divergence
 
 #: ``[^\x20\x09-\x0D]+`` as a list of words; a null text has none.
@@ -42,25 +44,44 @@ def line_dedup_sql() -> str:
 
 
 def license_scan_sql() -> str:
+    """Boundaries as in ``license_scan``: what there looks ahead or back is taken in here and written again, or marked before.
+
+    ``N`` marks line feeds before an address, of which a blank line does not end a sentence. All ``E`` and ``L`` are doubled, so
+    that sentences next to each other have one each.
+    """
     names = ", ".join(f"'{license_scan.plain(text)}': '{name}'" for name, text in license_scan.SENTENCES.items())
-    hint = license_scan.HINT
-    ends = r"'\n|[.!?;]([ \t-\r]|\z)'"
-    steps, hits, before = [], [], "w"
-    for k, (licence, ids) in enumerate(sorted(license_scan.RULES, key=lambda rule: -len(rule[1]))):
-        pattern = "".join(f"|{i}|" for i in ids)
-        steps.append(f"r{k} AS (SELECT *, replace(left_{k}, '{pattern}', '~') AS left_{k + 1} FROM {before})")
-        hits.append(f"CASE WHEN contains(left_{k}, '{pattern}') THEN '{licence}' END")
-        before = f"r{k}"
+    hint = license_scan.hint(license_scan.SENTENCES)
+    marker = "(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})"
+    space = r"[ \t-\r]"
+    texts = sorted(set(license_scan.SENTENCES.values()), key=lambda text: (-len(license_scan.plain(text)), text))
+    known = "|".join(_sentence(text) for text in texts)
+    rules = ", ".join(
+        f"{{'written': '{''.join(f'|{i}|' for i in ids)}', 'found': ['{licence}']}}" for licence, ids in sorted(license_scan.RULES, key=lambda rule: -len(rule[1]))
+    )
     return rf"""
-    WITH p AS (SELECT doc_id, CASE WHEN regexp_matches(coalesce(text, ''), '{hint}') THEN string_split_regex(text, {ends}) ELSE [] END AS parts FROM documents),
-    n AS (SELECT doc_id, list_filter(list_transform(parts, lambda s: CASE WHEN regexp_matches(s, '{hint}') THEN trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))
-            WHEN regexp_matches(s, '[a-zA-Z0-9]') THEN '?' ELSE '' END), lambda s: s <> '') AS names FROM p),
-    i AS (SELECT doc_id, list_transform(names, lambda s: coalesce(map {{{names}}}[s], '~')) AS ids FROM n),
-    w AS (SELECT doc_id, ids, array_to_string(list_transform(ids, lambda i: CASE WHEN i = '~' THEN i ELSE '|' || i || '|' END), '') AS left_0 FROM i),
-    {', '.join(steps)}
+    WITH t AS (SELECT doc_id, regexp_matches(coalesce(text, ''), '{hint}') AS hinted, lower(coalesce(text, '')) AS t FROM documents),
+    m AS (SELECT doc_id, hinted, regexp_replace(regexp_replace(t, '(?m)^([^a-z0-9\n]*{marker})\)({space})', '\1. \2', 'g'),
+            '([:.!?;])({space}+[^a-z0-9\n]{{0,3}}{marker})[.)]({space})', '\1 L \2. \3', 'g') AS t FROM t),
+    a AS (SELECT doc_id, hinted, regexp_replace(regexp_replace(t, '[.!?;]({space}|\z)', ' E \1', 'g'), '([^a-z0-9]{{0,81}})(https?://)', 'H\1I\2', 'g') AS t FROM m),
+    u AS (SELECT doc_id, hinted, array_to_string(list_transform(string_split(t, 'H'), lambda s: CASE WHEN contains(s, 'I')
+            THEN replace(split_part(s, 'I', 1), chr(10), 'N') || substr(s, strpos(s, 'I') + 1) ELSE s END), '') AS t FROM a),
+    b AS (SELECT doc_id, hinted, 'E ' || trim(regexp_replace(regexp_replace(regexp_replace(t, '[\nN][^a-z0-9EN\n]*\n', ' E ', 'g'), '[\nN]', ' L ', 'g'), '[^a-z0-9EL]+', ' ', 'g')) || ' E' AS t FROM u),
+    p AS (SELECT doc_id, CASE WHEN hinted THEN string_split(regexp_replace(regexp_replace(t, '([EL])', '\1 \1', 'g'),
+            '([EL]) ({known}) ([EL])', '\1' || chr(10) || '\2' || chr(10) || '\3', 'g'), chr(10)) ELSE [] END AS parts FROM b),
+    i AS (SELECT doc_id, list_filter(list_transform(parts, lambda s, k: CASE WHEN k % 2 = 0 THEN map {{{names}}}[regexp_replace(s, '[EL] ', '', 'g')]
+            WHEN regexp_full_match(s, '[EL ]*({marker} E[EL ]*)?') THEN '' ELSE '~' END), lambda s: s <> '') AS ids FROM p),
+    w AS (SELECT doc_id, ids, array_to_string(list_transform(ids, lambda i: CASE WHEN i = '~' THEN i ELSE '|' || i || '|' END), '') AS written FROM i),
+    r AS (SELECT doc_id, ids, list_reduce(list_prepend({{'written': written, 'found': []::VARCHAR[]}}, [{rules}]), lambda s, rule: CASE WHEN contains(s.written, rule.written)
+            THEN {{'written': replace(s.written, rule.written, '~'), 'found': list_concat(s.found, rule.found)}} ELSE s END).found AS licences FROM w)
     SELECT doc_id, array_to_string(list_filter(ids, lambda i: i <> '~'), ',') AS sentence_ids,
-           array_to_string(list_sort(list_distinct(list_filter([{', '.join(hits)}], lambda x: x IS NOT NULL))), ',') AS licences
-    FROM {before}"""
+           array_to_string(list_sort(list_distinct(licences)), ',') AS licences
+    FROM r"""
+
+
+def _sentence(text: str) -> str:
+    """A known sentence: line feeds may be between its words, ends too where it has its own."""
+    parts = [license_scan.plain(part).replace(" ", " (?:L )*") for part in re.split(r"[.!?;](?=\s)", text)]
+    return " (?:[EL] )*".join(part for part in parts if part)
 
 
 def phrase_dedup_sql() -> str:

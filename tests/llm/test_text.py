@@ -1,11 +1,13 @@
 import random
 import time
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from logloom.llm import html_text, license_scan, line_dedup, quality_classifier, quality_rules, toxicity
+from logloom.llm import html_text, license_scan, line_dedup, quality_classifier, quality_rules, sql, toxicity
 from logloom.llm.words import ALNUM, NOT_WHITE, chunks, split_words
 
 from . import brute
@@ -178,6 +180,98 @@ def test_licences_as_published(spark):
     assert {r["doc_id"]: (r["sentence_ids"], r["licences"]) for r in got} == {f"{i} {k}": PUBLISHED[k][1:] for i, _, k in rows}
 
 
+GPL_2 = """    This program is free software; you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation; either version 2 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY.
+"""
+ISC = """ISC License
+
+Copyright (c) 2020, A. Uthor
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.
+"""
+APACHE_HEAD = """                                 Apache License
+                           Version 2.0, January 2004
+                        http://www.apache.org/licenses/
+
+   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION
+
+   1. Definitions.
+"""
+EPL = """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at
+
+https://www.eclipse.org/legal/epl-2.0/
+"""
+MIT_END = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+UNLICENSE = "This is free and unencumbered software released into the\npublic domain.\n"
+MORE = [
+    (GPL_2, ["gpl-2.0-or-later-program", "gpl-no-warranty"], ["GPL-2.0-or-later"]),
+    (GPL_2.replace("program", "library").replace("General", "Lesser General").replace("version 2", "version 2.1"), ["lgpl-2.1-or-later-library", "library-no-warranty"], ["LGPL-2.1-or-later"]),
+    (GPL_2.replace("software;", "software:").replace("Foundation;", "Foundation,").replace("General", "Affero General").replace("version 2", "version 3"), ["agpl-3.0-or-later-program", "gpl-no-warranty"], ["AGPL-3.0-or-later"]),
+    (ISC, ["isc-name", "isc-grant", "isc-as-is"], ["ISC"]),
+    (MPL, ["mpl-2-form"], ["MPL-2.0"]),
+    (APACHE_HEAD, ["apache-2-title"], ["Apache-2.0"]),
+    (EPL, ["epl-2-terms"], ["EPL-2.0"]),
+    (MIT.split("THE SOFTWARE IS")[0] + MIT_END, ["mit-title", "mit-grant", "mit-notice", "mit-as-is", "mit-liability"], ["MIT"]),
+    (MIT_END, ["mit-as-is", "mit-liability"], []),
+    (UNLICENSE, ["unlicense-released"], ["Unlicense"]),
+    ("This project is licensed\nunder the MIT License - see LICENSE", [], []),
+    ("This project is licensed under the MIT License.\nSee LICENSE.", ["this-project-is-licensed-under-the-mit-license"], ["MIT"]),
+    ("This work is licensed under a Creative Commons\nAttribution-NonCommercial-ShareAlike 4.0 International License.", ["cc-by-nc-sa-4.0-this-a"], ["CC-BY-NC-SA-4.0"]),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.", ["0bsd-grant"], ["0BSD"]),
+]
+WRAPPED = [
+    lambda text: text,
+    lambda text: "Some words.\n\n" + "".join(f" * {line}\n" for line in text.splitlines()) + "\nMore words",
+    lambda text: text.replace("\n", "\r\n"),
+]
+
+
+def test_more_licences_as_published(spark):
+    rows = [(f"{i} {k}", form(text)) for i, form in enumerate(WRAPPED) for k, (text, _, _) in enumerate(MORE)]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {r["doc_id"]: (r["sentence_ids"], r["licences"]) for r in got} == {i: MORE[int(i.split()[1])][1:] for i, _ in rows}
+
+
+def test_sql_has_the_boundaries_of_the_code(spark):
+    """Wrapped texts, list markers and odd joints of them, addresses after blank lines."""
+    texts = [form(text) for form in WRAPPED for text, _, _ in [*PUBLISHED, *MORE]] + [text for text, _ in LICENCES]
+    parts = ["Licensed under the MIT License", "Released under the MIT License", "ISC License", "MIT", "x", "1.", "(a)", "iv)", "2)", "\n", "\n\n", "\n \n", ". ", "; ", ": ", " ", "E", "L", "http://a.b/c", "\u2028", "é", "?!", "\n" * 90]
+    rng = random.Random(7)
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(2, 14))) for _ in range(1500)]
+    texts += [" ".join(rng.sample(texts[:50], 3)) for _ in range(50)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = license_scan.scan(rows).select("doc_id", F.array_join("sentence_ids", ","), F.array_join("licences", ",")).collect()
+    connection = duckdb.connect()
+    connection.register("documents", pa.table({"doc_id": range(len(texts)), "text": pa.array(texts, pa.string())}))
+    expected = connection.sql(sql.license_scan_sql()).fetchall()
+    assert sum(1 for row in expected if row[2]) > 200
+    assert sorted(map(tuple, got)) == sorted(expected)
+
+
 def test_own_sentences(spark):
     rows = [(1, "Intro.\nFree for all\nuses. Even at night."), (2, "free for all"), (3, None)]
     got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), {"free": "Free for all uses. Even at night"}, [("Own", ["free"])])
