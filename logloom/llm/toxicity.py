@@ -50,6 +50,8 @@ RIDGE = 1.0
 #: Units remembered by a worker, with their scores.
 CACHE_UNITS = 300_000
 UNITS_AT_ONCE = 100_000
+#: (unit, neighbours) pairs that a task of the marking step holds before it hands them on.
+CONTEXTS_AT_ONCE = 50_000
 BEST = 4
 #: Times that the machine is fitted again on the clean units that it took most for toxic.
 HARD_ROUNDS = 2
@@ -260,8 +262,10 @@ def marking_units(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
     """Units that mark toxic documents, best first, with their marks, and common units of clean documents.
 
     A unit is counted once for each pair of neighbours it has, so that copies of a text count once. A mark is the
-    log odds of toxic against clean documents over its standard error.
+    log odds of toxic against clean documents over its standard error. A task hands on its pairs when it holds
+    ``CONTEXTS_AT_ONCE``; those that come again are told apart by the ``distinct``.
     """
+    at_once = CONTEXTS_AT_ONCE
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -270,6 +274,9 @@ def marking_units(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
                 units = units_of(text)
                 for before, unit, after in zip(["", *units], units, [*units[1:], ""]):
                     found.add((unit, _identity(f"{before} {after}"), int(label)))
+                if len(found) >= at_once:
+                    yield pd.DataFrame(list(found), columns=["unit", "context", "label"])
+                    found = set()
             yield pd.DataFrame(list(found), columns=["unit", "context", "label"])
 
     contexts = sample.mapInPandas(listed, "unit string, context long, label int").distinct()

@@ -272,6 +272,18 @@ def test_sql_has_the_boundaries_of_the_code(spark):
     assert sorted(map(tuple, got)) == sorted(expected)
 
 
+def test_marks_do_not_depend_on_what_a_task_holds(spark, monkeypatch):
+    rng = random.Random(3)
+    words = prose(9, 60, 60)
+    rows = [(" ".join(rng.choices(words, k=12) + [f"{rng.choice(words)} grobian {rng.choice(words)}"] * (k % 3 == 0)), int(k % 3 == 0)) for k in range(90)]
+    sample = spark.createDataFrame(rows, "text string, label int").repartition(2)
+    found = []
+    for at_once in (10**9, 1):
+        monkeypatch.setattr(toxicity, "CONTEXTS_AT_ONCE", at_once)
+        found.append(toxicity.marking_units(sample))
+    assert found[0] == found[1] and "grobian" in found[0][0]
+
+
 def test_own_sentences(spark):
     rows = [(1, "Intro.\nFree for all\nuses. Even at night."), (2, "free for all"), (3, None)]
     got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), {"free": "Free for all uses. Even at night"}, [("Own", ["free"])])
