@@ -44,6 +44,8 @@ SKETCH_FLOOR = 0.58
 BLOCK = 1024
 SET_BLOCK = 256
 NODES_PER_TASK = 10_000
+#: Rows with their texts that a Python worker and Spark hold at once.
+ROWS_AT_ONCE = 2_000
 
 _rng = np.random.default_rng(75)
 _XORS = _rng.integers(0, 1 << 63, size=SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -176,7 +178,7 @@ def confirmed(documents: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataF
         .select("a", "b")
     )
     ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    sets = staged(_sets_of(documents, nodes.join(ends, "node").select("node", "row_key")))
+    sets = staged(_sets_of(documents, nodes.join(ends, "node").select("node", "row_key")), batch_rows=ROWS_AT_ONCE)
     joined = near.join(sets.withColumnsRenamed({"node": "b", "shingles": "set_b"}), "b").join(sets.withColumnsRenamed({"node": "a", "shingles": "set_a"}), "a")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +278,7 @@ def _cluster_links(members: DataFrame) -> DataFrame:
     the other, so a set meets those of its own size class and of the two beside it, in blocks of ``SET_BLOCK``.
     """
     size = F.octet_length("shingles") / 8
-    classed = staged(members.withColumn("size_class", F.floor(F.log(size) / F.lit(-np.log(SIMILARITY_PERCENT / 100)) + 1e-9)))
+    classed = staged(members.withColumn("size_class", F.floor(F.log(size) / F.lit(-np.log(SIMILARITY_PERCENT / 100)) + 1e-9)), batch_rows=ROWS_AT_ONCE)
     blocks = staged(classed.groupBy("cluster", "size_class").agg(F.ceil(F.count("*") / SET_BLOCK).alias("blocks")))
     own = blocks.select("cluster", "size_class", F.col("blocks").alias("own_blocks"))
     above = blocks.select("cluster", (F.col("size_class") - 1).alias("size_class"), F.col("blocks").alias("above_blocks"))
@@ -332,7 +334,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     row_key is the xxhash64 of id and text; group is null for an empty set.
     """
-    signed = staged(signatures(documents))
+    signed = staged(signatures(documents), batch_rows=ROWS_AT_ONCE)
     nodes = staged(
         signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     )

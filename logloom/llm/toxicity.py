@@ -57,6 +57,7 @@ BEST = 4
 HARD_ROUNDS = 2
 #: Landmarks added at each of these.
 HARD_LANDMARKS = 64
+#: Units whose subsequences are laid out at once.
 UNITS_MAPPED = 5_000
 LONGEST_UNIT = 40
 
@@ -170,8 +171,8 @@ class ToxicityModel:
         """The machine's value for each unit; the most frequent come from memory."""
         new = [u for u in set(units) if u not in self.known]
         found = {}
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
+        for k in range(0, len(new), UNITS_MAPPED):
+            part = new[k : k + UNITS_MAPPED]
             codes, rows, weights = _subsequences(part)
             values = np.bincount(rows, self.weights[codes] * weights, minlength=len(part)) + self.bias
             found.update(zip(part, values.tolist()))
