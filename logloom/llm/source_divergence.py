@@ -40,7 +40,7 @@ from logloom.llm.words import string_buffers
 LEAST_DOCS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 BLOCK_SOURCES = 64
 BUCKET_ROWS = 10_000
 GROUPS_PER_FILE = 20_000

@@ -3,9 +3,10 @@
 import random
 import tracemalloc
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from logloom.llm import near_dup, toxicity
+from logloom.llm import near_dup, source_divergence, toxicity
 
 
 def test_texts_reach_python_in_small_batches(spark, monkeypatch):
@@ -23,6 +24,20 @@ def test_texts_reach_python_in_small_batches(spark, monkeypatch):
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
 
 
+def test_a_shard_takes_little_memory():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3_000)]
+    batch = pa.record_batch([["en"] * 400, ["s"] * 400, [" ".join(rng.choices(words, k=6_000)) for _ in range(400)]], names=["lang", "source", "text"])
+    tracemalloc.start()
+    n = 0
+    for held in source_divergence._shards(iter([batch]), source_divergence.SHARD_BYTES):
+        n += source_divergence.shard_counts(*[pa.concat_arrays([b.column(i) for b in held]) for i in range(3)])["n"].sum()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 400 * 6_000
+    assert peak < 150e6
+
+
 def test_looking_up_many_units_takes_little_memory():
     rng = random.Random(4)
     units = ["".join(rng.choices("abcdefghij", k=9)) for _ in range(20_000)]
