@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logloom.llm.storage import staged
+
 BITS = 27
 _SEGMENTS = 6
 
@@ -32,7 +34,8 @@ def broadcast_filter(keys: DataFrame, bits: int = BITS):
     """The filter over the single long column of ``keys``, as a broadcast variable.
 
     The flags are gathered as 64-bit words by a grouped sum (at most ``2 ** (bits - 6)`` rows, however many keys),
-    then as 64 segments, which go to the driver: ``2 ** (bits - 3)`` bytes.
+    then as 64 segments, ``2 ** (bits - 3)`` bytes, which go to the driver by way of the shared folder, so that the
+    shuffle files of the keys do not outlast the filter's making.
     """
     spark = keys.sparkSession
     key = keys.columns[0]
@@ -51,6 +54,6 @@ def broadcast_filter(keys: DataFrame, bits: int = BITS):
 
     by_segment = words.repartition(F.shiftrightunsigned("word", bits - 6 - _SEGMENTS)).mapInPandas(segments, "segment long, flags binary")
     flags = np.zeros((1 << _SEGMENTS, per_segment), dtype=np.int64)
-    for row in by_segment.toLocalIterator():
+    for row in staged(by_segment).toLocalIterator():
         flags[row["segment"]] = np.frombuffer(row["flags"], dtype=np.int64)
     return spark.sparkContext.broadcast(BitFilter(flags.view(np.uint8).ravel(), bits))

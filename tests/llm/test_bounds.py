@@ -4,9 +4,24 @@ import random
 import tracemalloc
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from logloom.llm import near_dup, source_divergence, toxicity
+from logloom.llm import near_dup, source_divergence, storage, toxicity
+from logloom.llm.bit_filter import broadcast_filter
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("make", [lambda rows: storage.staged(rows.groupBy("key").count()), lambda rows: broadcast_filter(rows.groupBy("key").count().select("key"))])
+def test_shuffle_files_of_what_is_written_are_dropped(spark, make):
+    before = shuffle_files(spark)
+    held = make(spark.range(5_000).select((F.col("id") * 7 % 1_000).alias("key")))
+    assert held and not shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
 
 
 def test_texts_reach_python_in_small_batches(spark, monkeypatch):
