@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.storage import staged
+from logloom.llm.workers import lean
 
 BITS = 27
 _SEGMENTS = 6
@@ -52,7 +53,7 @@ def broadcast_filter(keys: DataFrame, bits: int = BITS):
                 flags[own["word"] % per_segment] = own["flags"]
         yield pd.DataFrame({"segment": list(found), "flags": [f.tobytes() for f in found.values()]})
 
-    by_segment = words.repartition(F.shiftrightunsigned("word", bits - 6 - _SEGMENTS)).mapInPandas(segments, "segment long, flags binary")
+    by_segment = words.repartition(F.shiftrightunsigned("word", bits - 6 - _SEGMENTS)).mapInPandas(lean(segments), "segment long, flags binary")
     flags = np.zeros((1 << _SEGMENTS, per_segment), dtype=np.int64)
     for row in staged(by_segment).toLocalIterator():
         flags[row["segment"]] = np.frombuffer(row["flags"], dtype=np.int64)

@@ -24,10 +24,13 @@ from pyspark.sql import types as T
 
 from logloom.llm.storage import blocks_for, staged
 from logloom.llm.words import ALNUM, chunks, gram_hashes, spans_union, split_words
+from logloom.llm.workers import lean
 
 WINDOW = 13
 WINDOWS_PER_BLOCK = 200_000
 BLOCKS_PER_STAGE = 4
+#: Bytes of text whose windows are looked up at once.
+BYTES_AT_ONCE = 250_000
 
 _SPAN = "array<struct<first:int,last:int>>"
 
@@ -73,7 +76,7 @@ def _hash_of(words: str) -> int:
 def _scan_batch(column: pa.Array, windows: _WindowSet) -> tuple[list[int], list[list], list[list[str]]]:
     """Of each document: the number of words, the hit spans in words, the items hit."""
     counts, spans, items = [], [], []
-    for chunk in chunks(column, ALNUM, True):
+    for chunk in chunks(column, ALNUM, True, BYTES_AT_ONCE):
         n_words = len(chunk.hashes)
         covered = np.zeros(n_words, dtype=bool)
         hit_items: dict[int, set[str]] = {}
@@ -156,7 +159,7 @@ def _with_block(rows: DataFrame, shared) -> DataFrame:
                 columns[at] = pa.array(new, kind)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return rows.mapInArrow(scan, whole)
+    return rows.mapInArrow(lean(scan), whole)
 
 
 def is_contaminated(n_words: str = "n_words", n_hit: str = "n_hit"):

@@ -34,6 +34,7 @@ from logloom.llm.bit_filter import broadcast_filter
 from logloom.llm.components import connected_components
 from logloom.llm.storage import blocks_for, staged
 from logloom.llm.words import NOT_WHITE, Chunk, chunks, gram_hashes, mixed
+from logloom.llm.workers import lean
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 75
@@ -46,6 +47,10 @@ SET_BLOCK = 256
 NODES_PER_TASK = 10_000
 #: Rows with their texts that a Python worker and Spark hold at once.
 ROWS_AT_ONCE = 2_000
+#: Rows with one or two full sets, which are larger than their texts.
+SETS_AT_ONCE = 500
+#: Bytes of text whose shingles are laid out at once.
+BYTES_AT_ONCE = 250_000
 
 _rng = np.random.default_rng(75)
 _XORS = _rng.integers(0, 1 << 63, size=SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -118,7 +123,7 @@ def signatures(documents: DataFrame) -> DataFrame:
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(2), NOT_WHITE, fold=True):
+            for chunk in chunks(batch.column(2), NOT_WHITE, fold=True, size=BYTES_AT_ONCE):
                 hashes, bounds = shingle_sets(chunk)
                 samples = min_hashes(hashes, bounds)
                 sizes = np.diff(bounds)
@@ -130,7 +135,7 @@ def signatures(documents: DataFrame) -> DataFrame:
                     names=["doc_id", "row_key", "n_shingles", "node", "bands", "sketch"],
                 )
 
-    return _keyed(documents).mapInArrow(signed, _SIGNATURE.format(id=documents.schema["doc_id"].dataType.simpleString()))
+    return _keyed(documents).mapInArrow(lean(signed), _SIGNATURE.format(id=documents.schema["doc_id"].dataType.simpleString()))
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -157,13 +162,13 @@ def _sets_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
             chosen = [i for i in np.sort(passed[first]).tolist() if int(keys[i]) not in seen]
             seen.update(keys[chosen].tolist())
             batch = batch.take(pa.array(chosen, pa.int64()))
-            for chunk in chunks(batch.column(2), NOT_WHITE, fold=True):
+            for chunk in chunks(batch.column(2), NOT_WHITE, fold=True, size=BYTES_AT_ONCE):
                 hashes, bounds = shingle_sets(chunk)
                 rows = batch.slice(chunk.first, chunk.n_docs)
                 own = [hashes[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays([rows.column(1), pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in own], pa.binary()), pa.array(own, pa.binary())], names=["row_key", "node", "shingles"])
 
-    found = _keyed(documents).mapInArrow(sets, "row_key long, node binary, shingles binary")
+    found = _keyed(documents).mapInArrow(lean(sets), "row_key long, node binary, shingles binary")
     # equal sets of other rows pass the filter only by chance, equal rows of other tasks always do: one row a node is enough
     return found.join(nodes.select("node", "row_key"), ["node", "row_key"]).dropDuplicates(["node", "row_key"]).select("node", "shingles")
 
@@ -189,7 +194,7 @@ def confirmed(documents: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataF
                 flags.append(bool(_is_link(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))))
             yield batch.filter(pa.array(flags, pa.bool_())).select([0, 1])
 
-    return joined.select("a", "b", "set_a", "set_b").mapInArrow(linked, "a binary, b binary").distinct()
+    return joined.select("a", "b", "set_a", "set_b").mapInArrow(lean(linked), "a binary, b binary").distinct()
 
 
 def _is_link(common, size_a, size_b):
@@ -263,7 +268,7 @@ def _close_nodes(members: DataFrame, sketch: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (list(found), list(found.values()), [groups.root(x) for x in found.values()])], names=["node", "label", "other"])
 
     cells = one.union(two).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return cells.mapInArrow(close, "node binary, label binary, other binary").distinct()
+    return cells.mapInArrow(lean(close), "node binary, label binary, other binary").distinct()
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -306,7 +311,7 @@ def _cluster_links(members: DataFrame) -> DataFrame:
                 found = list(_links_in(labels, sets, _matrix(cell.column("sketch")), most))
                 yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
 
-    return placed.mapInArrow(linked, "a binary, b binary").distinct()
+    return placed.mapInArrow(lean(linked), "a binary, b binary").distinct()
 
 
 def _links_in(labels: list[bytes], sets: list[np.ndarray], sketches: np.ndarray, most: int) -> Iterator[tuple[bytes, bytes]]:
@@ -344,7 +349,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     shared = staged(banded.join(centres, "bucket"), tasks)
 
     first_pairs = staged(shared.where("node <> centre").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a")).select("a", "b"), tasks)
-    first_links = staged(confirmed(documents, first_pairs, nodes))
+    first_links = staged(confirmed(documents, first_pairs, nodes), batch_rows=SETS_AT_ONCE)
     labels = connected_components(first_links)
 
     def labelled(rows: DataFrame, node: str, label: str) -> DataFrame:
@@ -356,7 +361,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     reached = connected_components(staged(close.select(F.col("label").alias("a"), F.col("other").alias("b")).distinct(), tasks)).select(F.col("label").alias("cluster"), F.col("node").alias("label"))
     wanted = staged(close.select("node", "label").distinct().join(reached, "label"), tasks)
     sets = _sets_of(documents, nodes.join(wanted.select("node"), "node").select("node", "row_key"))
-    between = staged(_cluster_links(wanted.join(nodes.select("node", "sketch"), "node").join(sets, "node").select("cluster", "node", "label", "sketch", "shingles")))
+    between = staged(_cluster_links(wanted.join(nodes.select("node", "sketch"), "node").join(sets, "node").select("cluster", "node", "label", "sketch", "shingles")), batch_rows=SETS_AT_ONCE)
     joined = connected_components(between).withColumnsRenamed({"node": "old", "label": "new"})
     group = labelled(nodes.select("node", "doc_id"), "node", "label").join(joined, F.col("label") == F.col("old"), "left").select("node", "doc_id", F.coalesce("new", "label").alias("label"))
     group = staged(group, tasks)

@@ -28,9 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logloom.llm.workers import lean
+
 CAPACITY = 1024
 TAIL = 64
 END_ID = 0
+#: Pieces that a task holds before it hands them on.
+PIECES_AT_ONCE = 5_000
 
 _SCHEMA = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, token_ids binary"
 
@@ -194,13 +198,13 @@ def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, ta
                 for n in piece_lengths(len(ids) // 4, capacity, tail):
                     packer.add((doc_id, start, ids[4 * start : 4 * (start + n)], len(ids) // 4))
                     start += n
-                if len(packer.done) >= 20_000:
+                if len(packer.done) >= PIECES_AT_ONCE:
                     yield _rows(packer.take(), id_kind, with_ids)
         packer.finish()
         if packer.done:
             yield _rows(packer.take(), id_kind, with_ids)
 
-    rows = documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(packed, schema)
+    rows = documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(lean(packed), schema)
     return rows if with_ids else rows.drop("token_ids")
 
 

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.storage import staged
+from logloom.llm.workers import give_back, lean
 
 SPAN = 7
 DECAY = 0.6
@@ -48,8 +49,8 @@ MOST_MARKS = 4_000
 LEAST_LOG_ODDS, LEAST_MARK = 1.5, 2.5
 RIDGE = 1.0
 #: Units remembered by a worker, with their scores.
-CACHE_UNITS = 300_000
-UNITS_AT_ONCE = 100_000
+CACHE_UNITS = 100_000
+UNITS_AT_ONCE = 25_000
 #: (unit, neighbours) pairs that a task of the marking step holds before it hands them on.
 CONTEXTS_AT_ONCE = 50_000
 BEST = 4
@@ -58,7 +59,7 @@ HARD_ROUNDS = 2
 #: Landmarks added at each of these.
 HARD_LANDMARKS = 64
 #: Units whose subsequences are laid out at once.
-UNITS_MAPPED = 5_000
+UNITS_MAPPED = 2_000
 LONGEST_UNIT = 40
 
 _CLASSES = 64
@@ -280,7 +281,7 @@ def marking_units(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
                     found = set()
             yield pd.DataFrame(list(found), columns=["unit", "context", "label"])
 
-    contexts = sample.mapInPandas(listed, "unit string, context long, label int").distinct()
+    contexts = sample.mapInPandas(lean(listed), "unit string, context long, label int").distinct()
     counts = staged(contexts.groupBy("unit").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")))
     total = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
     n = {0: total["clean"], 1: total["toxic"]}
@@ -327,7 +328,7 @@ def rated_sentences(sample: DataFrame, rate: Rater) -> dict[tuple[str, int], flo
                         found.add((unit, int(label), sentence))
             yield pd.DataFrame(list(found), columns=["unit", "label", "sentence"])
 
-    rows = sample.mapInPandas(chosen, "unit string, label int, sentence long").distinct().groupBy("unit", "label").agg(F.count("*").cast("double").alias("n")).collect()
+    rows = sample.mapInPandas(lean(chosen), "unit string, label int, sentence long").distinct().groupBy("unit", "label").agg(F.count("*").cast("double").alias("n")).collect()
     return {(r["unit"], r["label"]): r["n"] for r in rows}
 
 
@@ -383,7 +384,7 @@ def _fit_logistic(sample: DataFrame, model: ToxicityModel, toxic_share: float) -
             evidence = shared.value.evidence([list(set(units_of(t))) for t in batch["text"]])
             yield pd.DataFrame({"x": list(evidence), "label": batch["label"]})
 
-    found = sample.mapInPandas(rows, "x array<double>, label int").collect()
+    found = sample.mapInPandas(lean(rows), "x array<double>, label int").collect()
     return _logistic(np.array([r["x"] for r in found]), np.array([float(r["label"]) for r in found]), toxic_share)
 
 
@@ -397,7 +398,7 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
             scores = model.value.scores(text.as_py() or "" for text in batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
 
-    return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(scored, f"doc_id {id_type}, score double")
+    return documents.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(lean(scored), f"doc_id {id_type}, score double")
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -407,7 +408,9 @@ def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.value.scores(text or "" for text in texts))
+        scores = pd.Series(model.value.scores(text or "" for text in texts))
+        give_back()
+        return scores
 
     rows = documents.select(row, F.col("text").cast("string").alias("text"))
     return rows.where(score("text") < threshold).select("row.*")

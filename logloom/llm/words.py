@@ -2,7 +2,7 @@
 
 A word class is a table of 256 flags, one per byte. The classes used here treat every byte from 0x80 on as
 a word byte, so that working on bytes equals working on characters. Batches are cut at document ends into
-chunks of about ``CHUNK_BYTES``; a document is never cut, so an n-gram sees its whole text.
+chunks of about ``CHUNK_BYTES``, or as asked for; a document is never cut, so an n-gram sees its whole text.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ class _Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, CHUNK_BYTES + 1)
+            size = max(n, min(1 << n.bit_length(), CHUNK_BYTES + 1))
             up, down = (np.full(size, b, dtype=np.uint64) for b in (self.base, self.inverse))
             up[0] = down[0] = 1
             self.up, self.down = np.multiply.accumulate(up), np.multiply.accumulate(down)
@@ -139,12 +139,12 @@ def _scan(data: np.ndarray, offsets: np.ndarray, first: int, last: int, word_cla
     return Chunk(first, data, bounds, starts, ends, np.searchsorted(starts, bounds), hashes)
 
 
-def chunks(column: pa.Array, word_class: np.ndarray, fold: bool) -> Iterator[Chunk]:
-    """The documents of a string column in chunks; ``fold`` treats A-Z as a-z."""
+def chunks(column: pa.Array, word_class: np.ndarray, fold: bool, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
+    """The documents of a string column in chunks of about ``size`` bytes; ``fold`` treats A-Z as a-z."""
     data, offsets = string_buffers(column)
     n, first = len(offsets) - 1, 0
     while first < n:
-        last = int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, side="right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
         last = min(max(last, first + 1), n)
         yield _scan(data, offsets, first, last, word_class, fold)
         first = last

@@ -5,12 +5,21 @@ import tracemalloc
 
 import pyarrow as pa
 import pytest
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import functions as F
 
-from logloom.llm import near_dup, source_divergence, storage, toxicity
+from logloom.llm import near_dup, source_divergence, storage, toxicity, words
 from logloom.llm.bit_filter import broadcast_filter
 
 
+class ListParam(AccumulatorParam):
+    def zero(self, value):
+        return []
+
+    def addInPlace(self, a, b):
+        return a + b
+
+
 def shuffle_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
@@ -63,3 +72,55 @@ def test_looking_up_many_units_takes_little_memory():
     tracemalloc.stop()
     assert margins[7] == toxicity.ToxicityModel().margins(units[7:8])[0]
     assert peak < 50e6
+
+
+def test_scoring_many_units_takes_little_memory():
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(500)) for _ in range(200)]
+    model = toxicity.ToxicityModel()
+    tracemalloc.start()
+    scores = model.scores(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(scores) == 200
+    assert peak < 40e6
+
+
+def test_shingles_of_much_text_take_little_memory(monkeypatch):
+    texts = pa.array([" ".join(f"w{(i * 7919 + j * 31) % 5_003}" for j in range(400)) for i in range(1_000)])
+    monkeypatch.setattr(words, "_BYTE_POWERS", words._Powers(words._BYTE_BASE))
+    monkeypatch.setattr(words, "_WORD_POWERS", words._Powers(words._WORD_BASE))
+    tracemalloc.start()
+    n = 0
+    for chunk in near_dup.chunks(texts, words.NOT_WHITE, fold=True, size=near_dup.BYTES_AT_ONCE):
+        hashes, bounds = near_dup.shingle_sets(chunk)
+        n += len(near_dup.min_hashes(hashes, bounds))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 1_000
+    assert peak < 25e6
+
+
+def test_pairs_of_sets_reach_python_in_small_batches(spark, monkeypatch):
+    most = spark.sparkContext.accumulator([], ListParam())
+    kept = near_dup.lean
+
+    def watched(task):
+        def run(batches):
+            def seen():
+                for batch in batches:
+                    if "set_a" in batch.schema.names:
+                        most.add([batch.num_rows])
+                    yield batch
+
+            yield from task(seen())
+
+        return kept(run)
+
+    monkeypatch.setattr(near_dup, "lean", watched)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(base[:100] + [f"only{i}"] + base[100:])) for i in range(1_500)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near_dup.near_duplicates(documents).where("kept").count() == 1
+    assert sum(most.value) >= 1_000
+    assert max(most.value) <= 500
