@@ -20,11 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from logloom.llm.storage import blocks_for, staged
 from logloom.llm.words import ALNUM, chunks, gram_hashes, spans_union, split_words
-from logloom.llm.workers import lean
+from logloom.llm.workers import give_back
 
 WINDOW = 13
 WINDOWS_PER_BLOCK = 200_000
@@ -33,6 +32,8 @@ BLOCKS_PER_STAGE = 4
 BYTES_AT_ONCE = 250_000
 
 _SPAN = "array<struct<first:int,last:int>>"
+_FOUND = f"n_words long, spans {_SPAN}, items array<string>"
+_SPANS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -144,22 +145,19 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, n: int = WINDOW, windo
 
 
 def _with_block(rows: DataFrame, shared) -> DataFrame:
-    schema = rows.schema
-    names = schema.names
-    text_at, counts_at, spans_at, items_at = (names.index(c) for c in ("text", "n_words", "hit_spans", "hit_items"))
-    whole = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts, spans, items = _scan_batch(batch.column(text_at), shared.value)
-            columns = list(batch.columns)
-            for at, new, joined in ((counts_at, counts, False), (spans_at, spans, True), (items_at, items, True)):
-                kind = batch.schema.field(at).type
-                new = [a + b for a, b in zip(batch.column(at).to_pylist(), new)] if joined else new
-                columns[at] = pa.array(new, kind)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-    return rows.mapInArrow(lean(scan), whole)
+    """``rows`` with the hits of one more block; only the text goes to Python, and only the hits come back."""
+
+    @F.arrow_udf(_FOUND)
+    def scan(texts: pa.Array) -> pa.Array:
+        counts, spans, items = _scan_batch(texts, shared.value)
+        give_back()
+        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))], names=["n_words", "spans", "items"])
+
+    found = "found"
+    while found in rows.columns:
+        found += "_"
+    hits = {"n_words": F.col(f"{found}.n_words"), "hit_spans": F.concat("hit_spans", f"{found}.spans"), "hit_items": F.concat("hit_items", f"{found}.items")}
+    return rows.withColumn(found, scan(F.col("text").cast("string"))).withColumns(hits).drop(found)
 
 
 def is_contaminated(n_words: str = "n_words", n_hit: str = "n_hit"):
