@@ -72,7 +72,9 @@ def is_number_topic(topic: Column) -> Column:
 
 def _is_long(topic: Column) -> Column:
     """More than 64 significant digits: a number that no word holds."""
-    return F.length(F.ltrim(without_prefix(topic), F.lit("0"))) > 64
+    digits = without_prefix(topic)
+    beyond = F.length(digits) - 64
+    return (F.length(digits) > 64) & (F.substr(digits, F.lit(1), beyond) != F.repeat(F.lit("0"), beyond))
 
 
 def topic_address(topic: Column) -> Column:
@@ -81,14 +83,18 @@ def topic_address(topic: Column) -> Column:
     return F.concat(F.lit("0x"), F.lower(F.substring(padded, -40, 40)))
 
 
+def _short_word(topic: Column) -> Column:
+    """The last 64 digits as a binary word; NULL when the digits are not hex."""
+    padded = F.concat(F.lit("0" * 64), without_prefix(topic))
+    return F.unhex(F.substring(padded, -64, 64))
+
+
 def topic_word(topic: Column) -> Column:
     """The number as a binary word, the largest one for what no word holds; NULL when the digits are not hex.
 
     No table column takes the largest word, and as a boolean it is true, as any longer number.
     """
-    padded = F.concat(F.lit("0" * 64), without_prefix(topic))
-    word = F.unhex(F.substring(padded, -64, 64))
-    return F.when(_is_long(topic) & is_number_topic(topic), F.lit(b"\xff" * WORD)).otherwise(word)
+    return F.when(_is_long(topic) & is_number_topic(topic), F.lit(b"\xff" * WORD)).otherwise(_short_word(topic))
 
 
 def topic_text(topic: Column, kind: str) -> Column:
@@ -98,14 +104,14 @@ def topic_text(topic: Column, kind: str) -> Column:
     if kind == "bool":
         return boolean_text(topic_word(topic))
     if kind.startswith("uint"):
-        return F.when(_is_long(topic), _long_text(topic_digits(topic))).otherwise(marked_uint_text(topic_word(topic)))
+        return F.when(_is_long(topic), _marked(topic_digits(topic))).otherwise(marked_uint_text(_short_word(topic)))
     if kind.startswith("int"):
         n_digits = bits(kind) // 4
         digits = topic_digits(topic)
         # above 2^n for certain: v - 2^n takes one from the digits before the last n bits
         high = _minus_one(F.substr(digits, F.lit(1), F.length(digits) - n_digits))
         above = F.concat(high, F.substring(digits, -n_digits, n_digits))
-        return F.when(_is_long(topic), _long_text(above)).otherwise(signed_text(topic_word(topic), bits(kind)))
+        return F.when(_is_long(topic), _marked(above)).otherwise(signed_text(_short_word(topic), bits(kind)))
     if kind.startswith("bytes"):
         return F.concat(F.lit("0x"), F.substring(topic_digits(topic), 1, 2 * n_bytes(kind)))
     return F.concat(F.lit("0x"), topic_digits(topic))
@@ -220,47 +226,69 @@ def marked_uint_text(word: Column) -> Column:
     return (
         F.when(_slice(word, 0, 24) == _zeros(24), low)
         .when(_slice(word, 0, 17) == _zeros(17), large)
-        .otherwise(F.concat(F.lit(WIDE_MARK), F.hex(word)))
+        .otherwise(_marked(F.hex(word)))
     )
 
 
-def finish_text(text: Column) -> Column:
-    digits = F.substr(text, F.lit(len(WIDE_MARK) + 1))
-    return F.when(text.startswith(WIDE_MARK), _wide_text(digits)).otherwise(text)
-
-
-def _wide_text(digits: Column) -> Column:
-    """64 hex digits to base 10: eight 32-bit limbs, ten base-10^8 column sums of limb x digits of
-    2^(32 i), one carry pass. A column sum stays below 8 * 2^32 * 10^8 < 2^63."""
-    base, places = 10**8, 10
-    table = [[2 ** (32 * i) // base**j % base for i in range(8)] for j in range(places)]
-    weights = constant(table, "array<array<bigint>>")
-    limbs = F.array(*[F.conv(F.substring(digits, 57 - 8 * i, 8), 16, 10).cast("bigint") for i in range(8)])
-    zero = F.lit(0).cast("bigint")
-
-    def column_sum(row: Column, values: Column) -> Column:
-        return F.aggregate(F.zip_with(row, values, lambda a, b: a * b), zero, lambda acc, x: acc + x)
-
-    sums = _let(limbs, lambda v: F.transform(weights, lambda row: column_sum(row, v)))
+def _marked(digits: Column, sign: str = "") -> Column:
+    return F.concat(F.lit(WIDE_MARK + sign), digits)
 
-    def carry(acc: Column, column: Column) -> Column:
-        total = acc["carry"] + column
-        rest = total % base
-        quotient = F.call_function("div", total - rest, F.lit(base).cast("bigint"))
-        text = F.concat(F.lpad(rest.cast("string"), 8, "0"), acc["text"])
-        return F.struct(quotient.alias("carry"), text.alias("text"))
 
-    start = F.struct(zero.alias("carry"), F.lit("").alias("text"))
-    return F.aggregate(sums, start, carry, lambda acc: F.ltrim(acc["text"], F.lit("0")))
+def finish_text(text: Column) -> Column:
+    """Spells out a marked number, of any number of digits; other texts stay. Hand it a column: it reads it several times."""
+    number = F.substr(text, F.lit(len(WIDE_MARK) + 1))
+    digits = F.when(number.startswith("-"), F.substr(number, F.lit(2))).otherwise(number)
+    value = F.when(F.length(digits) <= 64, _fixed_text(digits, 4))
+    for n_longs in (6, 8):
+        value = value.when(F.length(digits) <= 16 * n_longs, _fixed_text(digits, n_longs))
+    sign = F.when(number.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    return F.when(text.startswith(WIDE_MARK), F.concat(sign, value.otherwise(_long_text(digits)))).otherwise(text)
+
+
+def _fixed_text(digits: Column, n_longs: int) -> Column:
+    """Hex digits of at most eight times 64 bits to base 10: 32-bit limbs, base-10^8 column sums of limb x digits of
+    2^(32 i), carries. A column sum stays below 16 * 2^32 * 10^8 < 2^63.
+
+    Lambdas are interpreted, so everything is written out and nothing is built for a limb or a column: a product is three
+    nodes, a carry three for each column it comes through. The carries into every fifth column are computed once.
+    """
+    base, block, n_limbs = 10**8, 5, 2 * n_longs
+    places = -(-len(str(2 ** (64 * n_longs))) // 16) * 2
+    products = [[f"v[{i}] * {w}L" for i in range(n_limbs) if (w := 2 ** (32 * i) // base**j % base)] for j in range(places)]
+
+    def total(j: int, first: int, carried: str) -> str:
+        """Column ``j`` with the carry from the columns ``first`` and on, ``carried`` into ``first``."""
+        before = total(j - 1, first, carried) + f" div {base}L" if j > first else carried
+        return f"(s[{j}] + {before})"
+
+    def digits_at(j: int) -> str:
+        first = j - j % block
+        return f"{total(j, first, f's[{places + first // block - 1}]' if first else '0L')} % {base}L"
+
+    pairs = [f"lpad(cast({digits_at(j + 1)} * {base}L + {digits_at(j)} AS string), 16, '0')" for j in range(0, places, 2)]
+    text = f"concat({', '.join(reversed(pairs))})"
+    steps = [
+        f"p -> array({', '.join(f'try_cast(conv(substring(p, {16 * i + 1}, 16), 16, -10) AS bigint)' for i in reversed(range(n_longs)))})",
+        f"l -> array({', '.join(f'l[{i}] & 4294967295L, shiftrightunsigned(l[{i}], 32)' for i in range(n_longs))})",
+        f"v -> array({', '.join(' + '.join(column or ['0L']) for column in products)})",
+        f"s -> concat(s, array({', '.join(f'{total(j - 1, 0, '0L')} div {base}L' for j in range(block, places, block))}))",
+        f"s -> {text}",
+        f"t -> concat(ltrim('0', left(t, {8 * places - 1})), right(t, 1))",
+    ]
+    value = F.array(F.lpad(digits, 16 * n_longs, "0"))
+    for step in steps:
+        value = F.call_function("transform", value, F.expr(step))
+    return F.get(value, F.lit(0))
 
 
 def _long_text(digits: Column) -> Column:
-    """Hex digits of any number to base 10: Horner's rule over seven digits a step, on limbs of 10^8."""
-    base, step = 10**8, 16**7
+    """Hex digits of any number to base 10: Horner's rule over eight digits a step, on limbs of 10^9."""
+    base, step = 10**9, 16**8
     zero = F.lit(0).cast("bigint")
-    padded = F.lpad(digits, F.ceil(F.length(digits) / 7).cast("int") * 7, F.lit("0"))
-    starts = F.sequence(F.lit(1), F.length(padded), F.lit(7))
-    parts = F.transform(starts, lambda i: F.conv(F.substr(padded, i, F.lit(7)), 16, 10).cast("bigint"))
+
+    def parts(padded: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(padded), F.lit(8))
+        return F.transform(starts, lambda i: F.conv(F.substr(padded, i, F.lit(8)), 16, 10).try_cast("bigint"))
 
     def divided(total: Column) -> Column:
         return F.call_function("div", total, F.lit(base).cast("bigint"))
@@ -271,12 +299,13 @@ def _long_text(digits: Column) -> Column:
 
     def times_plus(limbs: Column, part: Column) -> Column:
         start = F.struct(part.alias("carry"), F.array().cast("array<bigint>").alias("limbs"))
-        # what is left to carry is below 16^7: at most two limbs
+        # what is left to carry is below 16^8: at most two limbs
         end = lambda acc: F.concat(acc["limbs"], F.when(acc["carry"] == 0, F.array().cast("array<bigint>")).when(acc["carry"] < base, F.array(acc["carry"])).otherwise(F.array(acc["carry"] % base, divided(acc["carry"]))))
         return F.aggregate(limbs, start, carry, end)
 
-    limbs = F.aggregate(parts, F.array().cast("array<bigint>"), times_plus)
-    text = F.ltrim(F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 8, "0")), ""), F.lit("0"))
+    padded = F.lpad(digits, F.ceil(F.length(digits) / 8).cast("int") * 8, F.lit("0"))
+    limbs = F.aggregate(_let(padded, parts), F.array().cast("array<bigint>"), times_plus)
+    text = F.ltrim(F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 9, "0")), ""), F.lit("0"))
     return _let(text, lambda t: F.when(t == "", F.lit("0")).otherwise(t))
 
 
@@ -293,22 +322,28 @@ def _negated(digits: Column) -> Column:
 
 
 def signed_text(word: Column, n_bits: int = 256) -> Column:
-    """v - 2^n when v >= 2^(n-1), over the full 256-bit v: upper bits are not masked off.
+    """v - 2^n when v >= 2^(n-1), over the full 256-bit v: upper bits are not masked off. May come back marked.
 
     With 256 bits this is the two's complement of a sign-extended word.
     """
-    pad = 64 - n_bits // 4
-
-    def text(digits: Column) -> Column:
-        high, low = F.substring(digits, 1, pad), F.substring(digits, pad + 1, n_bits // 4)
-        above = high != "0" * pad if pad else F.lit(False)
-        negative = ~above & (F.substring(low, 1, 1) >= "8")
-        magnitude = (
-            F.when(above, F.concat(_minus_one(high), low))
-            .when(negative, F.lpad(_negated(low), 64, "0"))
-            .otherwise(digits)
+    low64 = F.hex(_slice(word, 24, 8))
+    if n_bits == 256:
+        near = (_slice(word, 0, 24) == F.lit(b"\xff" * 24)) & (_slice(word, 24, 1) >= F.lit(b"\x80"))
+        return (
+            F.when(_slice(word, 0, 1) < F.lit(b"\x80"), marked_uint_text(word))
+            .when(near, F.conv(low64, 16, -10))
+            .otherwise(_marked(_negated(_hex_text(word)), "-"))
         )
-        sign = F.when(negative, F.lit("-")).otherwise(F.lit(""))
-        return F.concat(sign, _let(F.unhex(magnitude), uint_text))
-
-    return _let(_hex_text(word), text)
+    n_digits, first = n_bits // 4, WORD - n_bits // 8
+    high, low = F.substring(_hex_text(word), 1, 64 - n_digits), F.substring(_hex_text(word), -n_digits, n_digits)
+    above = F.concat(_minus_one(high), low)
+    text = F
+    if n_bits <= 56:
+        value = F.conv(low64, 16, 10).cast("bigint")
+        signed = value - F.when(value >= 2 ** (n_bits - 1), 2**n_bits).otherwise(0)
+        text = F.when(_slice(word, 0, 25) == _zeros(25), signed.cast("string"))
+    return (
+        text.when(_slice(word, 0, first) != _zeros(first), _marked(above))
+        .when(_slice(word, first, 1) < F.lit(b"\x80"), marked_uint_text(word))
+        .otherwise(_marked(_negated(low), "-"))
+    )

@@ -116,6 +116,6 @@ def _data_value(word: Column, kind: str, sql_type: str) -> Column:
 
 
 def _as_type(text: Column, kind: str, sql_type: str) -> Column:
-    if kind.startswith("uint"):
+    if kind.startswith(("uint", "int")):
         text = words.finish_text(text)
     return text if sql_type == "string" else text.try_cast(sql_type)

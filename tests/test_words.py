@@ -90,3 +90,48 @@ def test_data_bytes(spark, ansi):
     out = spark.createDataFrame([(k,) for k in cases], "d string").select("d", words.data_bytes(F.col("d")).alias("b"))
     for r in out.collect():
         assert (bytes(r["b"]) if r["b"] is not None else None) == cases[r["d"]], r["d"]
+
+
+LONG = [random.getrandbits(4 * n) | 1 << (4 * n - 1) for n in (*range(62, 70), *range(94, 99), *range(126, 131), 160, 300)]
+LONG += [1 << 256, (1 << 256) + 10**40, 10**96, 10**120 - 1, (1 << 320) - 1, (1 << 384) - 1, (1 << 512) - 1, 1 << 512, 17 << 256, (1 << 255) + 1, (1 << 256) - 10**50]
+
+
+@pytest.mark.parametrize("kind", ["uint256", "int256", "int128", "int64", "int56", "int8"])
+def test_numbers_of_any_length(spark, ansi, kind):
+    topics = [f"0x{v:x}" for v in LONG + VALUES] + [f"0x{'0' * 90}{v:X}" for v in LONG] + [f"0x{(1 << 256) - v:x}" for v in VALUES if v]
+    topics += [f"{2**n + d:x}" for n in (7, 8, 55, 56, 63, 64, 127, 128) for d in (-1, 0, 1)]
+    rows = spark.createDataFrame([(t,) for t in topics], "t string").withColumn("x", words.topic_text(F.col("t"), kind))
+    for r in rows.withColumn("x", words.finish_text(F.col("x"))).collect():
+        assert r["x"] == brute.topic_value(r["t"], kind), (r["t"], kind)
+
+
+def _largest_method(rows):
+    """Bytes of the largest method of whole-stage code."""
+    code = rows._jdf.queryExecution().debug().codegenToSeq()
+    return max((int(code.apply(i)._3().maxMethodCodeSize()) for i in range(code.size())), default=0)
+
+
+def test_plain_topics_meet_no_lambda(spark):
+    """A lambda is interpreted: only marked numbers are to meet one."""
+    rows = spark.createDataFrame([("0x1",)], "t string")
+    for kind in ("uint256", "uint8", "int256", "int8", "bool"):
+        assert "lambda" not in rows.select(words.topic_text(F.col("t"), kind))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_word_values_of_own_rows(spark, tmp_path):
+    """Repeated and missing keys; every step is code that HotSpot compiles (methods up to 8,000 bytes)."""
+    from workload.queries import word_values
+
+    keys = [0, 1, 2, 5, 5, 127, 128, 255, 256, 1000002, 1000003, 2**32 - 1, 10**9 + 7, None]
+    spark.createDataFrame([(k,) for k in keys], "event_id bigint").write.parquet(f"{tmp_path}/events.parquet")
+    rows = word_values(spark, str(tmp_path))
+    assert _largest_method(rows) <= 8000
+    found = sorted((tuple(r) for r in rows.collect()), key=lambda r: -1 if r[0] is None else r[0])
+    expected = [(None,) * 9] + [
+        (
+            k, f"0x{k * 31 + 7:040x}", str(k % 3 > 0), str(k % 1000003 * 2**64 + k * 97), str(-1 - k), str(k % 256 - 256 * (k % 256 >= 128)),
+            f"0x{k:08x}", str((k + 1) << 256), f"0x{k:064x}",
+        )
+        for k in sorted(k for k in keys if k is not None)
+    ]
+    assert found == expected

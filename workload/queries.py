@@ -282,21 +282,23 @@ def _topic(value: str, digits: int = 64) -> Column:
 def word_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each type's reading of topics made from ``event_id``."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("k"))
-    wide = F.expr("concat('0x', lpad(hex(k % 1000003), 48, '0'), lpad(hex(k * 97), 16, '0'))")
-    negative = F.expr("concat(repeat('f', 48), lower(hex(-1 - k)))")
-    leading = F.expr("concat('0x', lpad(lower(hex(k)), 8, '0'), repeat('0', 56))")
-    text = words.topic_text
-    return events.select(
-        "k",
-        text(_topic("k * 31 + 7"), "address").alias("as_address"),
-        text(_topic("k % 3"), "bool").alias("as_bool"),
-        words.finish_text(text(wide, "uint256")).alias("as_uint256"),
-        words.finish_text(text(negative, "int256")).alias("as_int256"),
-        words.finish_text(text(_topic("k % 256", 2), "int8")).alias("as_int8"),
-        text(leading, "bytes4").alias("as_bytes4"),
-        words.finish_text(text(F.expr("concat('0x', lpad(hex(k + 1), 16, '0'), repeat('0', 64))"), "uint256")).alias("as_long"),
-        text(_topic("k"), "other").alias("as_other"),
-    )
+    topics = {
+        "as_address": (_topic("k * 31 + 7"), "address"),
+        "as_bool": (_topic("k % 3"), "bool"),
+        "as_uint256": (F.expr("concat('0x', lpad(hex(k % 1000003), 48, '0'), lpad(hex(k * 97), 16, '0'))"), "uint256"),
+        "as_int256": (F.expr("concat(repeat('f', 48), lower(hex(-1 - k)))"), "int256"),
+        "as_int8": (_topic("k % 256", 2), "int8"),
+        "as_bytes4": (F.expr("concat('0x', lpad(lower(hex(k)), 8, '0'), repeat('0', 56))"), "bytes4"),
+        "as_long": (F.expr("concat('0x', lpad(hex(k + 1), 16, '0'), repeat('0', 64))"), "uint256"),
+        "as_other": (_topic("k"), "other"),
+    }
+    # a step reads columns that the one before computed; one number a step keeps the code of a step small enough to be compiled
+    rows = events.select("k", *[topic.alias(name) for name, (topic, _) in topics.items()])
+    for name, (_, kind) in topics.items():
+        if "int" in kind:
+            rows = rows.withColumn(name, words.topic_text(F.col(name), kind))
+            rows = rows.withColumn(name, words.finish_text(F.col(name)))
+    return rows.withColumns({name: words.topic_text(F.col(name), kind) for name, (_, kind) in topics.items() if "int" not in kind})
 
 
 def data_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
