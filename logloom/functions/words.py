@@ -103,15 +103,16 @@ def topic_text(topic: Column, kind: str) -> Column:
         return topic_address(topic)
     if kind == "bool":
         return boolean_text(topic_word(topic))
-    if kind.startswith("uint"):
-        return F.when(_is_long(topic), _marked(topic_digits(topic))).otherwise(marked_uint_text(_short_word(topic)))
-    if kind.startswith("int"):
-        n_digits = bits(kind) // 4
-        digits = topic_digits(topic)
-        # above 2^n for certain: v - 2^n takes one from the digits before the last n bits
-        high = _minus_one(F.substr(digits, F.lit(1), F.length(digits) - n_digits))
-        above = F.concat(high, F.substring(digits, -n_digits, n_digits))
-        return F.when(_is_long(topic), _marked(above)).otherwise(signed_text(_short_word(topic), bits(kind)))
+    if is_numeric(kind):
+        # every condition reads the word and the length, so that generated code computes them once
+        word, short, digits = _short_word(topic), ~_is_long(topic), topic_digits(topic)
+        cases, rest = _signed_cases(word, bits(kind)) if kind.startswith("int") else _unsigned_cases(word)
+        if kind.startswith("int"):
+            # above 2^n for certain: v - 2^n takes one from the digits before the last n bits
+            n_digits = bits(kind) // 4
+            high = _minus_one(F.substr(digits, F.lit(1), F.length(digits) - n_digits))
+            digits = F.concat(high, F.substring(digits, -n_digits, n_digits))
+        return _choice([(condition & short, text) for condition, text in cases], F.when(short, rest).otherwise(_marked(digits)))
     if kind.startswith("bytes"):
         return F.concat(F.lit("0x"), F.substring(topic_digits(topic), 1, 2 * n_bytes(kind)))
     return F.concat(F.lit("0x"), topic_digits(topic))
@@ -220,14 +221,24 @@ def marked_uint_text(word: Column) -> Column:
     Splitting the two steps lets a row convert all its words with plain expressions and pay for
     the wide conversion only where a wide word turns up.
     """
+    return _choice(*_unsigned_cases(word))
+
+
+Cases = tuple[list[tuple[Column, Column]], Column]  # conditions with their texts, and the text where none holds
+
+
+def _choice(cases: list[tuple[Column, Column]], rest: Column) -> Column:
+    chosen = F
+    for condition, text in cases:
+        chosen = chosen.when(condition, text)
+    return chosen.otherwise(rest)
+
+
+def _unsigned_cases(word: Column) -> Cases:
     low = F.conv(F.hex(_slice(word, 24, 8)), 16, 10)
     shifted = _limb(word, 16, 8, "decimal(20,0)") * F.lit(Decimal(2**64))
     large = (shifted + low.cast("decimal(20,0)")).cast("decimal(38,0)").cast("string")
-    return (
-        F.when(_slice(word, 0, 24) == _zeros(24), low)
-        .when(_slice(word, 0, 17) == _zeros(17), large)
-        .otherwise(_marked(F.hex(word)))
-    )
+    return [(_slice(word, 0, 24) == _zeros(24), low), (_slice(word, 0, 17) == _zeros(17), large)], _marked(F.hex(word))
 
 
 def _marked(digits: Column, sign: str = "") -> Column:
@@ -239,7 +250,7 @@ def finish_text(text: Column) -> Column:
     number = F.substr(text, F.lit(len(WIDE_MARK) + 1))
     digits = F.when(number.startswith("-"), F.substr(number, F.lit(2))).otherwise(number)
     value = F.when(F.length(digits) <= 64, _fixed_text(digits, 4))
-    for n_longs in (6, 8):
+    for n_longs in range(5, 9):
         value = value.when(F.length(digits) <= 16 * n_longs, _fixed_text(digits, n_longs))
     sign = F.when(number.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     return F.when(text.startswith(WIDE_MARK), F.concat(sign, value.otherwise(_long_text(digits)))).otherwise(text)
@@ -326,24 +337,24 @@ def signed_text(word: Column, n_bits: int = 256) -> Column:
 
     With 256 bits this is the two's complement of a sign-extended word.
     """
-    low64 = F.hex(_slice(word, 24, 8))
+    return _choice(*_signed_cases(word, n_bits))
+
+
+def _signed_cases(word: Column, n_bits: int) -> Cases:
+    low64, (unsigned, rest) = F.hex(_slice(word, 24, 8)), _unsigned_cases(word)
     if n_bits == 256:
         near = (_slice(word, 0, 24) == F.lit(b"\xff" * 24)) & (_slice(word, 24, 1) >= F.lit(b"\x80"))
-        return (
-            F.when(_slice(word, 0, 1) < F.lit(b"\x80"), marked_uint_text(word))
-            .when(near, F.conv(low64, 16, -10))
-            .otherwise(_marked(_negated(_hex_text(word)), "-"))
-        )
+        negative = F.when(_slice(word, 0, 1) >= F.lit(b"\x80"), _marked(_negated(_hex_text(word)), "-"))
+        return [*unsigned, (near, F.conv(low64, 16, -10))], negative.otherwise(rest)
     n_digits, first = n_bits // 4, WORD - n_bits // 8
     high, low = F.substring(_hex_text(word), 1, 64 - n_digits), F.substring(_hex_text(word), -n_digits, n_digits)
-    above = F.concat(_minus_one(high), low)
-    text = F
+    cases = [
+        (_slice(word, 0, first) != _zeros(first), _marked(F.concat(_minus_one(high), low))),
+        (_slice(word, first, 1) >= F.lit(b"\x80"), _marked(_negated(low), "-")),
+        *unsigned,
+    ]
     if n_bits <= 56:
         value = F.conv(low64, 16, 10).cast("bigint")
         signed = value - F.when(value >= 2 ** (n_bits - 1), 2**n_bits).otherwise(0)
-        text = F.when(_slice(word, 0, 25) == _zeros(25), signed.cast("string"))
-    return (
-        text.when(_slice(word, 0, first) != _zeros(first), _marked(above))
-        .when(_slice(word, first, 1) < F.lit(b"\x80"), marked_uint_text(word))
-        .otherwise(_marked(_negated(low), "-"))
-    )
+        cases.insert(0, (_slice(word, 0, 25) == _zeros(25), signed.cast("string")))
+    return cases, rest
